@@ -1,0 +1,15 @@
+"""Row-local operators on unbounded frames.
+
+The batch product has no streams of its own.  ``ROW_LOCAL`` names the operators
+that hold no state and therefore also take a streaming frame unchanged; the
+running and latest-per-key operators need the whole history and do not.
+"""
+
+ROW_LOCAL = (
+    "hash_pii_columns",
+    "project",
+    "unify",
+    "with_failures",
+    "violation_log",
+    "parse_elements",
+)

@@ -130,6 +130,30 @@ def section_memberships(xml: Frames, csv: Frames) -> DataFrame:
     )
 
 
+def section_enrollments(xml: Frames, csv: Frames) -> DataFrame:
+    """Student-section rows with the grade of the enrolment (XML) or of the class (CSV)."""
+    placed = joins.fan_out(xml["section_associations"], xml["enrollments"], "student_id", ["grade_level_raw"])
+    attending = csv["enrollments"].filter(F.col("role") == "student")
+    graded = joins.lookup(attending, csv["classes"], {"class_sourced_id": "sourced_id"}, {"class_grades": "grades"})
+    return unify(
+        [
+            Source(
+                placed,
+                _same("student_id", "section_id") | {"grade_level": x.normalize_grade("grade_level_raw"), SRC: SRC},
+            ),
+            Source(
+                graded,
+                {
+                    "student_id": "user_sourced_id",
+                    "section_id": "class_sourced_id",
+                    "grade_level": x.normalize_grade("class_grades"),
+                    SRC: SRC,
+                },
+            ),
+        ]
+    )
+
+
 def assessments(xml: Frames, csv: Frames) -> DataFrame:
     """Scores become doubles on both sides before the union, so text cannot break it."""
     answers = ("question_number", "standard_code", "correct_answer", "student_answer")
@@ -227,7 +251,7 @@ def wide_student(students: DataFrame, enrollments: DataFrame, schools: DataFrame
     if end_date:
         running = running & (F.col(end_date).isNull() | (as_of <= F.col(end_date).try_cast("date")))
     return joined.select(
-        *students.columns[:-1],
+        *[c for c in students.columns if c != SRC],
         "school_id",
         "grade_level",
         "district_id",
@@ -271,25 +295,14 @@ def fact_student_mastery_daily(assessments: DataFrame, hot_rows: int = HOT_ROWS)
     )
 
 
-def mastery_with_school(assessments: DataFrame, enrollments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Best score so far over assessment rows joined to every enrolment of the student.
+def mastery_with_school(mastery_fact: DataFrame, enrollments: DataFrame) -> DataFrame:
+    """The mastery fact once per school the student is enrolled in.
 
-    A student with several enrolments has each score once per enrolment, and all
-    of those rows count.
+    The running best is taken before this join, so several enrolments neither
+    repeat scores nor raise the count.
     """
-    places = enrollments.select(F.col("student_id").alias("__student"), "school_id")
-    scores = assessments.select(
-        *MASTERY_KEYS, F.col("assessment_date").alias("date_key"), "score", "assessment_id", "question_number"
-    ).join(places, F.col("student_id") == F.col("__student"), "inner")
-    best = mastery.running_best(
-        scores.drop("__student"),
-        MASTERY_KEYS,
-        "date_key",
-        "score",
-        ["assessment_id", "question_number", "school_id"],
-        hot_rows=hot_rows,
-    )
-    return best.select(
+    places = enrollments.select(F.col("student_id").alias("__student"), "school_id").distinct()
+    return mastery_fact.join(places, F.col("student_id") == F.col("__student"), "inner").select(
         *MASTERY_KEYS, "school_id", "date_key", "max_score_to_date", "assessment_count", "mastery_level"
     )
 

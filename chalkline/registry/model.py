@@ -31,6 +31,11 @@ class Model:
     def run_ts(self):
         return F.lit(b.RUN_TS).cast("timestamp")
 
+    def table_set(self) -> dict[str, DataFrame]:
+        """Every table, built now."""
+        names = [n[1:] for n in vars(Model) if n.startswith("_") and not n.startswith("__")]
+        return {n: self.table[n] for n in names}
+
     def silver(self, source: str, name: str) -> DataFrame:
         raw = (self.raw_xml if source == XML_SOURCE else self.raw_csv)[name]
         raw = stamp(raw, source, b.LOADED_AT)

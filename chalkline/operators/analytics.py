@@ -184,19 +184,22 @@ def prerequisite_failures(
     )
 
 
-def ancestors(items: DataFrame, item: str, parent: str) -> DataFrame:
-    """Every (item, ancestor, depth) of the prerequisite links; a cycle ends when it closes."""
+def ancestors(items: DataFrame, item: str, parent: str, max_depth: int = 1000) -> DataFrame:
+    """Every (item, ancestor, depth) of the prerequisite links.
+
+    A path ends where it would close a cycle; one deeper than ``max_depth`` is an error.
+    """
     edges = items.filter(F.col(parent).isNotNull()).select(F.col(item).alias("child"), F.col(parent).alias("parent")).distinct()
     return items.sparkSession.sql(
-        """
-        WITH RECURSIVE chain(item, ancestor, depth, seen) AS (
-            SELECT child, parent, 1, array(child, parent) FROM {edges}
+        f"""
+        WITH RECURSIVE chain(item, ancestor, depth, seen) MAX RECURSION LEVEL {int(max_depth)} AS (
+            SELECT child, parent, 1, array(child, parent) FROM {{edges}}
             UNION ALL
             SELECT c.item, e.parent, c.depth + 1, array_append(c.seen, e.parent)
-            FROM chain c JOIN {edges} e ON c.ancestor = e.child
+            FROM chain c JOIN {{edges}} e ON c.ancestor = e.child
             WHERE NOT array_contains(c.seen, e.parent)
         )
-        SELECT item, ancestor, min(depth) AS depth FROM chain GROUP BY item, ancestor
+        SELECT item, ancestor, min(depth) AS depth FROM (SELECT * FROM chain LIMIT ALL) GROUP BY item, ancestor
         """,
         edges=edges,
     )

@@ -16,9 +16,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chalkline.session import broadcast_upto, checkpointed
+from chalkline.session import broadcast_upto, materialized
 
 HOT_ROWS = 2_000_000
+LISTED_GROUPS = 10_000
 
 
 @dataclass(frozen=True)
@@ -68,15 +69,22 @@ def _along(df: DataFrame, keys: Sequence[str], order: Sequence[str], scan: Scan)
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, int, int] | None:
     """Groups with more than ``hot_rows`` rows: (keys + row count, groups, rows), or None.
 
-    Counting reads the key columns only and combines before the shuffle.
+    Counting reads the key columns only and combines before the shuffle.  There
+    are at most (all rows / hot_rows) such groups; a short list travels with the
+    plan, a long one is written to the shared folder.
     """
     sizes = (
         df.groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys])
         .agg(F.count(F.lit(1)).alias("__hot_rows"))
         .filter(F.col("__hot_rows") > hot_rows)
     )
-    groups, rows = sizes.agg(F.count(F.lit(1)), F.sum("__hot_rows")).first()
-    return (checkpointed(sizes), groups, rows) if groups else None
+    listed = sizes.limit(LISTED_GROUPS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= LISTED_GROUPS:
+        return df.sparkSession.createDataFrame(listed, sizes.schema), len(listed), sum(r["__hot_rows"] for r in listed)
+    kept = materialized(sizes, "groups")
+    return kept, *kept.agg(F.count(F.lit(1)), F.sum("__hot_rows")).first()
 
 
 def ordered_scan(
@@ -114,13 +122,10 @@ def _sliced(
 ) -> DataFrame:
     slices = max(2, math.ceil(2 * rows / hot_rows))
     # Row ids and slice ids are taken from written data, so a lost executor cannot change them.
-    numbered = checkpointed(df).withColumn("__row", F.monotonically_increasing_id())
+    numbered = materialized(df, "large").withColumn("__row", F.monotonically_increasing_id())
     order = [*order, "__row"]
-    cut = checkpointed(
-        numbered.repartitionByRange(slices, *[F.col(k) for k in keys], *_nulls_last(order)).withColumn(
-            "__slice", F.spark_partition_id()
-        )
-    )
+    ranged = numbered.repartitionByRange(slices, *[F.col(k) for k in keys], *_nulls_last(order))
+    cut = materialized(ranged.withColumn("__slice", F.spark_partition_id()), "slices")
     totals = {f"__total_{name}": total for name, total in scan.totals().items()}
     lasts = {f"__last_{name}": F.max_by(F.col(src), _position(order)) for name, src in scan.previous.items()}
     per_slice = cut.groupBy(*keys, "__slice").agg(

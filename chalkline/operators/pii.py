@@ -12,9 +12,10 @@ from chalkline.functions.exprs import birth_year, hashed
 # Column names that must not reach the published tables.
 FORBIDDEN_COLUMNS = ("first_name", "last_name", "email", "birth_date", "student_name", "given_name", "family_name")
 
-# Shapes of personal data looked for inside string columns.
+# Shapes of personal data looked for inside string columns.  One character before
+# the "@" is enough to find an address and keeps the search linear in the text.
 PII_SHAPES = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "birth_date": r"\b(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}\b",
     "phone": r"\b[0-9]{3}-[0-9]{3}-[0-9]{4}\b",
 }

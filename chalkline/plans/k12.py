@@ -346,6 +346,7 @@ def members(student_dim: DataFrame, school_dim: DataFrame) -> DataFrame:
 def agg_district_comparison(
     mastery_fact: DataFrame, student_dim: DataFrame, school_dim: DataFrame, standard_dim: DataFrame, dedupe: bool = False
 ) -> DataFrame:
+    """``mastery_fact`` may be any frame of student, standard and score."""
     latest = mastery.latest_mastery(mastery_fact, MASTERY_KEYS)
     return mastery.group_comparison(latest, members(student_dim, school_dim), standard_dim, dedupe=dedupe)
 

@@ -17,8 +17,9 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.t = b.tables(spark, sf_dir)
-        self.raw_xml, self.raw_csv = b.raw_xml(spark, sf_dir), b.raw_csv(spark, sf_dir)
-        self.seeds = b.seeds(spark, sf_dir)
+        self.raw_xml = b.bound_all(spark, self.t, b.XML_RAW)
+        self.raw_csv = b.bound_all(spark, self.t, b.CSV_RAW)
+        self.seeds = b.bound_all(spark, self.t, b.SEEDS)
         self.xml = b._Lazy(lambda name: self.staged(XML_SOURCE, name))
         self.csv = b._Lazy(lambda name: self.staged(CSV_SOURCE, name))
         self.table = b._Lazy(lambda name: getattr(self, f"_{name}")())
@@ -98,6 +99,10 @@ class Model:
     def _fact_student_mastery_daily(self):
         return k12.fact_student_mastery_daily(self.table["int_assessments"])
 
+    def _scores(self):
+        """Scored rows: all that the last state of a key needs, so no running column is computed for it."""
+        return self.table["int_assessments"].filter(F.col("score").isNotNull())
+
     def _fact_assessment_responses(self):
         return k12.fact_assessment_responses(self.table["int_assessments"], self.table["dim_misconception_pattern"])
 
@@ -114,7 +119,7 @@ class Model:
 
     def _agg_district_comparison(self):
         return k12.agg_district_comparison(
-            self.table["fact_student_mastery_daily"],
+            self.table["scores"],
             self.table["dim_student"],
             self.table["dim_school"],
             self.table["dim_standard"],

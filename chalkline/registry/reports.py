@@ -16,7 +16,7 @@ from chalkline.registry.oracle import LEVEL, with_models
 
 
 def latest(m: Model) -> DataFrame:
-    return mastery.latest_mastery(m.table["fact_student_mastery_daily"], k12.MASTERY_KEYS)
+    return mastery.latest_mastery(m.table["scores"], k12.MASTERY_KEYS)
 
 
 # --- gates ---------------------------------------------------------------------

@@ -271,7 +271,7 @@ def agg_district_comparison(m: Model) -> DataFrame:
 )
 def district_comparison_deduplicated(m: Model) -> DataFrame:
     out = k12.agg_district_comparison(
-        m.table["fact_student_mastery_daily"],
+        m.table["scores"],
         m.table["dim_student"],
         m.table["dim_school"],
         m.table["dim_standard"],

@@ -53,10 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/chalkline-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` to the shared folder once and read it from there.
+
+    Cuts the plan like a checkpoint, but in columns: later steps read only what
+    they need, and a lost executor costs a file read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_upto(df: DataFrame, rows: int) -> DataFrame:

@@ -63,7 +63,7 @@ def xml_schema(entity: XmlEntity) -> T.StructType:
 
 def xml_text(value: Column) -> Column:
     """Element text: empty is NULL, everything else is trimmed (blank text becomes '')."""
-    return F.regexp_replace(F.nullif(value, F.lit("")), r"\A\s+|\s+\z", "")
+    return F.btrim(F.nullif(value, F.lit("")), F.lit(" \t\n\r\x0b\x0c"))
 
 
 def xml_elements(spark: SparkSession, path: str, row_tag: str, column: str = "element") -> DataFrame:
@@ -74,8 +74,9 @@ def xml_elements(spark: SparkSession, path: str, row_tag: str, column: str = "el
     """
     closing = f"</{row_tag}>"
     pieces = spark.read.text(path, lineSep=closing)
-    opening = F.regexp_extract("value", rf"(?s)<{re.escape(row_tag)}[\s>].*\z", 0)
-    return pieces.select(opening.alias("__e")).filter(F.col("__e") != "").select(F.concat("__e", F.lit(closing)).alias(column))
+    start = F.regexp_instr("value", F.lit(rf"<{re.escape(row_tag)}[\s>]"))
+    found = pieces.select("value", start.alias("__start")).filter(F.col("__start") > 0)
+    return found.select(F.concat(F.expr("substring(value, __start)"), F.lit(closing)).alias(column))
 
 
 def parse_elements(elements: DataFrame, entity: XmlEntity, column: str = "element", keep=()) -> DataFrame:
@@ -83,36 +84,37 @@ def parse_elements(elements: DataFrame, entity: XmlEntity, column: str = "elemen
 
     Broken elements give no rows here, see ``malformed_elements``.
     """
-    parsed = _parsed(elements, entity, column).filter(F.col(f"r.{MALFORMED}").isNull())
-    base = {name: F.col(f"r.{path}") if path else None for name, path in entity.fields.items()}
+    parsed = _parsed(elements, entity, column, keep).filter(F.col(MALFORMED).isNull())
     if entity.items:
-        parsed = parsed.withColumn("item", F.explode(f"r.{entity.items}"))
+        parsed = parsed.withColumn("__item", F.explode(entity.items))
     out = []
     for name in entity.output:
         values = []
         if name in entity.item_fields:
-            values.append(F.col(f"item.{entity.item_fields[name]}"))
-        if base.get(name) is not None:
-            values.append(base[name])
+            values.append(F.col(f"__item.{entity.item_fields[name]}"))
+        if entity.fields.get(name):
+            values.append(F.col(entity.fields[name]))
         texts = [xml_text(v) for v in values]
         if len(texts) > 1:  # a blank child falls back to its parent, too
             texts = [F.nullif(texts[0], F.lit("")), *texts[1:]]
         out.append((F.coalesce(*texts) if texts else F.lit(None).cast("string")).alias(name))
-    return parsed.select(*keep, *out)
+    return parsed.select(*[F.col(f"__keep_{k}").alias(k) for k in keep], *out)
 
 
 def malformed_elements(elements: DataFrame, entity: XmlEntity, column: str = "element") -> DataFrame:
     """Texts of the elements that cannot be parsed."""
-    return _parsed(elements, entity, column).select(F.col(f"r.{MALFORMED}").alias(column)).filter(F.col(column).isNotNull())
+    return _parsed(elements, entity, column).select(F.col(MALFORMED).alias(column)).filter(F.col(column).isNotNull())
 
 
-def _parsed(elements: DataFrame, entity: XmlEntity, column: str) -> DataFrame:
+def _parsed(elements: DataFrame, entity: XmlEntity, column: str, keep=()) -> DataFrame:
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": MALFORMED,
         "ignoreSurroundingSpaces": "false",
     }
-    return elements.withColumn("r", F.from_xml(F.col(column), xml_schema(entity), options))
+    # A generator is a border for the optimizer: without it, every filter above would parse the text again.
+    parsed = F.inline(F.array(F.from_xml(F.col(column), xml_schema(entity), options)))
+    return elements.select(*[F.col(k).alias(f"__keep_{k}") for k in keep], parsed)
 
 
 def read_xml(spark: SparkSession, directory: str, name: str, loaded_at: str | None = None) -> DataFrame:

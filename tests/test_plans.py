@@ -30,6 +30,7 @@ def test_running_best_needs_one_shuffle(model):
 
 def test_latest_mastery_skips_the_window(model):
     fact = model.table["fact_student_mastery_daily"]
+    assert "Window" in plan(fact)
     text = plan(mastery.latest_mastery(fact, ["student_id", "standard_code"]))
     assert "Window" not in text and "partial_max" in text
 

@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from chalkline import registry
 from chalkline.operators import joins, mastery
 from chalkline.registry.model import Model
 
@@ -57,14 +56,3 @@ def test_large_sides_are_not_broadcast(spark, model):
             assert "Broadcast" not in text, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_no_query_needs_a_cross_join_or_python(spark):
-    queries, _ = registry.load()
-    skipped = ("scan", "sink", "xml_", "registered", "hot_groups", "ancestors", "chains", "all_gates")
-    for name, build in queries.items():
-        if any(s in name for s in skipped):
-            continue
-        text = plan(build(spark, SF))
-        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-            assert word not in text, f"{name}: {word}"

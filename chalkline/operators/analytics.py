@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chalkline.functions import exprs as x
 from chalkline.operators.joins import lookup
 from chalkline.operators.responses import side_by_side
+from chalkline.session import materialized
 
 # --- mastery ----------------------------------------------------------------
 
@@ -187,9 +188,11 @@ def prerequisite_failures(
 def ancestors(items: DataFrame, item: str, parent: str, max_depth: int = 1000) -> DataFrame:
     """Every (item, ancestor, depth) of the prerequisite links.
 
-    A path ends where it would close a cycle; one deeper than ``max_depth`` is an error.
+    A path ends where it would close a cycle; one deeper than ``max_depth`` is an
+    error.  The links are written first, since every level reads them again.
     """
-    edges = items.filter(F.col(parent).isNotNull()).select(F.col(item).alias("child"), F.col(parent).alias("parent")).distinct()
+    links = items.filter(F.col(parent).isNotNull()).select(F.col(item).alias("child"), F.col(parent).alias("parent"))
+    edges = materialized(links.distinct(), "links")
     return items.sparkSession.sql(
         f"""
         WITH RECURSIVE chain(item, ancestor, depth, seen) MAX RECURSION LEVEL {int(max_depth)} AS (

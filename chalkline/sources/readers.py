@@ -70,13 +70,16 @@ def xml_elements(spark: SparkSession, path: str, row_tag: str, column: str = "el
     """One row per ``row_tag`` element, as text.
 
     The text reader splits at the closing tag, so one large file is read by many
-    tasks, and a broken element cannot swallow those behind it.
+    tasks, and a broken element cannot swallow those behind it.  What lies
+    before the opening tag is the file's frame or elements without content.
     """
-    closing = f"</{row_tag}>"
-    pieces = spark.read.text(path, lineSep=closing)
-    start = F.regexp_instr("value", F.lit(rf"<{re.escape(row_tag)}[\s>]"))
-    found = pieces.select("value", start.alias("__start")).filter(F.col("__start") > 0)
-    return found.select(F.concat(F.expr("substring(value, __start)"), F.lit(closing)).alias(column))
+    closing, tag = f"</{row_tag}>", re.escape(row_tag)
+    start = F.regexp_instr("value", F.lit(rf"<{tag}(\s[^<>]*)?(?<!/)>"))
+    pieces = spark.read.text(path, lineSep=closing).select("value", start.alias("__start"))
+    before = F.when(F.col("__start") > 0, F.expr("substring(value, 1, __start - 1)")).otherwise(F.col("value"))
+    empty = F.regexp_extract_all(before, F.lit(rf"<{tag}(\s[^<>]*)?/>"), F.lit(0))
+    element = F.when(F.col("__start") > 0, F.concat(F.expr("substring(value, __start)"), F.lit(closing)))
+    return pieces.select(F.explode(F.array_compact(F.array_append(empty, element))).alias(column))
 
 
 def parse_elements(elements: DataFrame, entity: XmlEntity, column: str = "element", keep=()) -> DataFrame:

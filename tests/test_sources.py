@@ -56,6 +56,16 @@ def test_assessment_items(spark, folders, rows):
     assert len(broken) == 1 and "A6" in broken[0][0]
 
 
+def test_elements_without_content_are_kept(spark, tmp_path, rows):
+    text = """<LearningStandard/><LearningStandard id="1 a"/>
+      <LearningStandard id="2"><StandardCode>A</StandardCode></LearningStandard>
+      <LearningStandardSet/><LearningStandard
+        kind="x"><StandardCode>B</StandardCode><StandardDescription/></LearningStandard><LearningStandard />"""
+    (tmp_path / "LearningStandards.xml").write_text(k12_files.interchange("X", text))
+    df = readers.read_xml(spark, str(tmp_path), "standards")
+    assert rows(df, "standard_code", "standard_description") == [("A", None), ("B", None), (None, None), (None, None), (None, None)]
+
+
 def test_one_large_xml_file_is_read_by_many_tasks(spark, tmp_path):
     body = "".join(
         f"<LearningStandard><StandardCode>C{i}</StandardCode><StandardDescription>{'d' * 50}</StandardDescription></LearningStandard>\n"
@@ -123,3 +133,8 @@ def test_register_parquet_directories(spark, tmp_path, rows):
     sinks.register_parquet_dir(spark, root, "custom_schema")
     assert rows(spark.table("custom_schema.test_table")) == [(2, "bob")]
     spark.sql("DROP DATABASE custom_schema CASCADE")
+
+
+def test_string_schema():
+    schema = readers.string_schema(["a", "b"])
+    assert schema.simpleString() == "struct<a:string,b:string>" and all(f.nullable for f in schema)

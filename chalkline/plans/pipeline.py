@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+import argparse
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from chalkline.operators.analytics import row_counts
 from chalkline.operators.joins import lookup
 from chalkline.operators.pii import hash_pii_columns
 from chalkline.plans import k12
 from chalkline.plans.staging import stage
+from chalkline.session import build_session
 from chalkline.sources import readers, sinks
 from chalkline.sources.specs import CSV_SOURCE, XML_SOURCE
 
 Frames = dict[str, DataFrame]
 
+# The published tables.
+GOLD = (
+    "dim_student",
+    "dim_school",
+    "dim_standard",
+    "dim_section",
+    "dim_misconception_pattern",
+    "fact_student_mastery_daily",
+    "fact_assessment_responses",
+    "fact_attendance_daily",
+    "fact_dq_quarantine_log",
+    "agg_early_warning",
+    "agg_district_comparison",
+)
+
 
 def masked_students(raw: DataFrame) -> DataFrame:
     return hash_pii_columns(raw, ["first_name", "last_name"], "email", "birth_date")
@@ -126,3 +145,33 @@ def run(
         return sinks.publish(df, name, database) if database else sinks.write_parquet(df, f"{parquet_output}/gold/{name}")
 
     return silver_to_gold(silver, seeds, as_of, run_ts, save)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: ``python -m chalkline.plans.pipeline --out DIR [--xml DIR] [--csv DIR] [--seeds DIR] …``.
+
+    Without seeds the run stops at silver; a source that is not named is skipped.
+    """
+    parser = argparse.ArgumentParser(description="Read, mask, unify and publish the K-12 tables.")
+    parser.add_argument("--xml", help="folder of the XML interchange files")
+    parser.add_argument("--csv", help="folder of the CSV roster files")
+    parser.add_argument("--seeds", help="folder of the three reference CSVs")
+    parser.add_argument("--out", required=True, help="folder for the Parquet tables")
+    parser.add_argument("--database", help="catalog database for the published tables")
+    parser.add_argument("--as-of", help="day that counts as today (YYYY-MM-DD)")
+    args = parser.parse_args(argv)
+    spark = build_session("chalkline-pipeline")
+    as_of = F.lit(args.as_of).cast("date") if args.as_of else F.current_date()
+    if not args.seeds:
+        written = bronze_to_silver(spark, args.xml, args.csv, args.out, register=args.database is not None)
+        counts = {f"{source}.{name}": df for source, tables in written.items() for name, df in tables.items()}
+    elif args.xml and args.csv:
+        tables = run(spark, args.xml, args.csv, args.seeds, args.out, as_of, F.current_timestamp(), database=args.database)
+        counts = {name: tables[name] for name in GOLD}
+    else:
+        parser.error("publishing needs both --xml and --csv")
+    row_counts(counts).orderBy("table").show(100, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

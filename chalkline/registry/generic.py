@@ -49,7 +49,7 @@ _LINES = ("l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
 
 @query(
     "running_best_hot_groups",
-    """SELECT l_returnflag, l_shipdate, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
+    """SELECT l_returnflag, '' || CAST(l_shipdate AS DATE) AS day, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
               max(l_quantity) OVER w AS best, CAST(sum(l_linenumber) OVER w AS BIGINT) AS running_lines, count(*) OVER w AS seen,
               lag(l_quantity) OVER w0 AS previous, count(*) OVER (PARTITION BY l_returnflag) AS total
        FROM lineitem
@@ -70,7 +70,8 @@ def running_best_hot_groups(m: Model) -> DataFrame:
         group_size="total",
     )
     hot_rows = max(1, m.t["lineitem"].count() // 12)
-    return ordered_scan(rows, ["l_returnflag"], list(_LINES), scan, hot_rows).drop("l_quantity", "line")
+    out = ordered_scan(rows, ["l_returnflag"], list(_LINES), scan, hot_rows)
+    return out.withColumn("day", F.col("l_shipdate").cast("date").cast("string")).drop("l_shipdate", "l_quantity", "line")
 
 
 @query(
@@ -536,11 +537,12 @@ def null_keys_by_source(m: Model) -> DataFrame:
 
 @query(
     "future_rows",
-    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2001-01-01'",
+    "SELECT o_orderkey, '' || CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2001-01-01'",
 )
 def future_rows(m: Model) -> DataFrame:
     day = F.col("o_orderdate").cast("date").alias("day")
-    return m.t["orders"].select("o_orderkey", day).filter(F.col("day") > F.lit("2001-01-01").cast("date"))
+    rows = m.t["orders"].select("o_orderkey", day).filter(F.col("day") > F.lit("2001-01-01").cast("date"))
+    return rows.withColumn("day", F.col("day").cast("string"))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,11 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_all(tables: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    return {name: write_parquet(df, f"{directory}/{name}") for name, df in tables.items()}
+def write_all(tables: dict[str, DataFrame], directory: str, at_once: int = 4) -> dict[str, DataFrame]:
+    """Overwrite one directory per table; some at a time, so that small tables do not leave executors idle."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        jobs = {name: pool.submit(write_parquet, df, f"{directory}/{name}") for name, df in tables.items()}
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def publish(df: DataFrame, table: str, database: str = "gold") -> DataFrame:

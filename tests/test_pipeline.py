@@ -256,3 +256,13 @@ def test_staging_renames(spark, tmp_path):
     assert "first_name" not in staged["students"].columns
     orgs = stage("oneroster", {"orgs": readers.read_csv(spark, csv, "orgs")})["orgs"]
     assert orgs.columns[:3] == ["org_id", "org_name", "org_type"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    xml, csv, seeds = k12_files.write(tmp_path)
+    pipeline.main(["--xml", xml, "--csv", csv, "--seeds", seeds, "--out", str(tmp_path / "out"), "--as-of", "2026-06-30"])
+    shown = capsys.readouterr().out
+    assert all(name in shown for name in pipeline.GOLD)
+    assert spark.read.parquet(str(tmp_path / "out" / "gold" / "fact_dq_quarantine_log")).count() == 3
+    pipeline.main(["--csv", csv, "--out", str(tmp_path / "silver_only")])
+    assert "oneroster.users" in capsys.readouterr().out

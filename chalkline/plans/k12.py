@@ -352,6 +352,7 @@ def agg_district_comparison(
 
 
 # --- quality rules ----------------------------------------------------------
+# The names and texts of the rules below.
 
 
 def enrollment_rules(school_dim: DataFrame, as_of: Column) -> list[quality.Rule]:

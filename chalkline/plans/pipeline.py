@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chalkline.functions.exprs import hashed
+from chalkline.operators import quality
 from chalkline.operators.analytics import row_counts
 from chalkline.operators.joins import lookup
 from chalkline.operators.pii import hash_pii_columns
@@ -15,7 +18,7 @@ from chalkline.plans import k12
 from chalkline.plans.staging import stage
 from chalkline.session import build_session
 from chalkline.sources import readers, sinks
-from chalkline.sources.specs import CSV_SOURCE, XML_SOURCE
+from chalkline.sources.specs import CSV_SOURCE, XML_ENTITIES, XML_SOURCE
 
 Frames = dict[str, DataFrame]
 
@@ -56,6 +59,28 @@ def csv_silver(spark: SparkSession, directory: str, loaded_at: str | None = None
     return tables | {"users": masked_users(tables["users"], tables.get("demographics"))}
 
 
+def malformed_log(spark: SparkSession, directory: str, run_ts: datetime | Column) -> DataFrame:
+    """Broken XML elements as log rows.
+
+    The text may hold personal data, so the log shows its hash.
+    """
+    rule = quality.Rule(
+        "malformed_xml",
+        "Element is not well-formed XML",
+        "element",
+        "Must be well-formed",
+        F.lit(True),
+        shown=hashed("element"),
+    )
+    logs = []
+    for name in XML_ENTITIES:
+        broken = readers.read_malformed_xml(spark, directory, name).withColumns(
+            {"_source_system": F.lit(XML_SOURCE), "__id": F.lit(None).cast("string")}
+        )
+        logs.append(quality.violations(broken, [replace(rule, entity=name)], run_ts, "__id"))
+    return quality.union_logs(logs)
+
+
 def bronze_to_silver(
     spark: SparkSession,
     xml_input: str | None,
@@ -137,8 +162,12 @@ def run(
     loaded_at: str | None = None,
     database: str | None = None,
 ) -> Frames:
-    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named."""
+    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named.
+
+    Broken XML elements are logged below ``parquet_output``/malformed.
+    """
     silver = bronze_to_silver(spark, xml_input, csv_input, parquet_output, loaded_at)
+    sinks.write_parquet(malformed_log(spark, xml_input, run_ts), f"{parquet_output}/malformed")
     seeds = readers.read_seeds(spark, seed_dir)
 
     def save(name: str, df: DataFrame) -> DataFrame:

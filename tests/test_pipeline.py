@@ -155,6 +155,14 @@ def test_quarantine_log(out, rows):
     ]
 
 
+def test_broken_elements_are_logged_without_their_text(spark, out, rows):
+    log = spark.read.parquet(f"{out[1]}/malformed")
+    assert rows(log, "source_system", "entity_type", "record_id", "rule_name") == [
+        ("edfi", "assessment_results", "UNKNOWN", "malformed_xml")
+    ]
+    assert "A6" not in log.first().field_value
+
+
 def test_gates(out, rows):
     as_of = F.lit("2026-06-30").cast("date")
     found = {name: rows(df) for name, df in checks.gates(out[0], as_of).items()}

@@ -154,7 +154,7 @@ def seed_scan(m: Model) -> DataFrame:
 def parquet_sink_overwrite(m: Model) -> DataFrame:
     path = scratch_path(m.spark, "sink")
     rows = m.t["orders"].select("o_orderkey", "o_custkey", "o_totalprice")
-    sinks.write_parquet(rows.limit(1), path)
+    sinks.write_parquet(m.t["region"], path)
     return sinks.write_parquet(rows, path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, hosts, lines, minhash, quality, secrets
+from chalkline.llm import bpe, chat, hosts, lines, minhash, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,97 @@ RULES = [
 @query("op9_hosts")
 def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
+
+
+# Target weights of the mix: a leaf's weight is the product of its domain's and its language's.
+LONG_TEXT = 2000
+DOMAIN_WEIGHTS = {"long": 3, "short": 1}
+LANGUAGE_WEIGHTS = {"en": 4, "de": 2, "fr": 2}
+PERMILLE, EPOCHS, SEED = 500, 2, 7
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Long and short texts are the domains."""
+    return docs.withColumn("domain", F.when(F.length("text") >= LONG_TEXT, "long").otherwise("short"))
+
+
+def leaf_weights(docs: DataFrame) -> DataFrame:
+    """A row for each domain, language and source that occurs."""
+
+    def weight(column: str, table: dict[str, int]):
+        out = F.lit(1)
+        for name, value in table.items():
+            out = F.when(F.col(column) == name, value).otherwise(out)
+        return out
+
+    leaves = docs.select("domain", "lang", "source").distinct()
+    return leaves.withColumn("weight", (weight("domain", DOMAIN_WEIGHTS) * weight("lang", LANGUAGE_WEIGHTS)).cast("long"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    docs = with_domain(docs)
+    return mixing.mix(docs, leaf_weights(docs.select("domain", "lang", "source")), PERMILLE, EPOCHS, SEED)
+
+
+def mixing_sql(documents: str) -> str:
+    """The mix of a table with doc_id, text, lang and source, as SQL."""
+    levels, steps = ("domain", "lang", "source"), []
+    leaf = "leaves"
+    for depth, level in enumerate(levels):
+        above, key = ", ".join(levels[:depth]), ", ".join(levels[: depth + 1])
+        family = f"partition by {above}" if above else ""
+        steps.append(f"""
+        nodes{depth} as (
+            select {key}, sum(weight) as w, sum({EPOCHS} * tokens) as cap, min(budget) as given from {leaf} group by {key}
+        ),
+        ordered{depth} as (
+            select *,
+                row_number() over o as place,
+                given - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0) as remaining,
+                sum(w) over (o rows between current row and unbounded following) as rest
+            from nodes{depth} window o as ({family} order by cap / w, cap, {level})
+        ),
+        opened{depth} as (
+            select *, arg_min(remaining, place) filter (cap * rest > remaining * w) over (a) as open_left,
+                arg_min(rest, place) filter (cap * rest > remaining * w) over (a) as open_rest,
+                min(place) filter (cap * rest > remaining * w) over (a) as open_place
+            from ordered{depth} window a as ({family})
+        ),
+        level{depth} as (
+            select l.* replace (
+                (case when open_place is null or place < open_place then cap else (w * open_left) // open_rest end)::bigint as budget
+            )
+            from {leaf} l join opened{depth} using ({key})
+        )""")
+        leaf = f"level{depth}"
+    domain_weight = " ".join(f"when domain = '{k}' then {v}" for k, v in DOMAIN_WEIGHTS.items())
+    language_weight = " ".join(f"when lang = '{k}' then {v}" for k, v in LANGUAGE_WEIGHTS.items())
+    place = f"cast('0x' || substr(md5('{SEED}:' || epoch || ':' || doc_id), 1, 15) as bigint)"
+    return f"""
+    with d as (
+        select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            case when length(text) >= {LONG_TEXT} then 'long' else 'short' end as domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as n_words
+        from {documents}
+    ),
+    leaves as (
+        select domain, lang, source, sum(n_words)::bigint as tokens,
+            (case {domain_weight} end) * (case {language_weight} else 1 end) as weight,
+            (select (sum(n_words) * {PERMILLE}) // 1000 from d)::bigint as budget
+        from d group by domain, lang, source
+    ),
+    {",".join(steps)},
+    placed as (
+        select d.*, epoch, budget, tokens, {place} as place
+        from d join {leaf} using (domain, lang, source), range(1, {EPOCHS} + 1) as e(epoch)
+    ),
+    summed as (
+        select *, sum(n_words) over (partition by domain, lang, source order by epoch, place) as until from placed
+    )
+    select doc_id, domain, lang, source, epoch, n_words from summed where until <= budget
+    """
+
+
+@query("op2_mixing", mixing_sql("documents"))
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "epoch", "n_words")

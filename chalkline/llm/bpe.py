@@ -216,8 +216,11 @@ def decoded(vocabulary, ids: Column | str) -> Column:
     return run(ids if isinstance(ids, Column) else F.col(ids))
 
 
-def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` (packed) and ``decoded`` of every document, in one pass without a shuffle.
+def encode_documents(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` (packed) and ``decoded`` of every document, and the columns to ``keep``, in one
+    pass without a shuffle.
 
     ``path``: a byte-level BPE vocabulary file, read by the driver. Added tokens that occur in a text become their own
     id. Null or empty text: no tokens, decoded empty. Repeated rows and null doc_ids are carried along; other columns
@@ -225,7 +228,6 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     rows.
     """
     vocabulary = load(docs.sparkSession, path)
-    ids = docs.select(F.col(doc_id).alias("doc_id"), encoded(vocabulary, text).alias("ids"))
-    return ids.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", decoded(vocabulary, "ids").alias("decoded")
-    )
+    ids = docs.select(F.col(doc_id).alias("doc_id"), encoded(vocabulary, text).alias("ids"), *keep)
+    count = (F.octet_length("ids") / 4).cast("long")
+    return ids.select("doc_id", count.alias("n_tokens"), "ids", decoded(vocabulary, "ids").alias("decoded"), *keep)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chalkline.llm import words
 from chalkline.llm.links import linked, shared_buckets, within
-from chalkline.session import materialized
+from chalkline.session import BROADCAST_ROWS, materialized
 
 WIDTH = 5
 PERCENT = 85
@@ -64,7 +64,7 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
     size: int = SIZE, matches: int = MATCHES,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``row`` (hash of id and text).
 
     Words are runs without ASCII white space, A-Z lower-cased; a document's set holds its distinct ``width``-word
     shingles, the whole sequence as one if it has fewer words. Documents with 100 * intersection >= ``percent`` * union
@@ -131,8 +131,23 @@ def near_duplicates(
         .select("key_a", "key_b", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
     return (
-        hashed.select("doc_id", "n_shingles", "key_a", "key_b").where("n_shingles > 0").join(named, ["key_a", "key_b"])
-        .select("doc_id", "n_shingles", "component_id")
-        .unionByName(hashed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        hashed.select("doc_id", "row", "n_shingles", "key_a", "key_b").where("n_shingles > 0").join(named, ["key_a", "key_b"])
+        .select("doc_id", "n_shingles", "component_id", "row")
+        .unionByName(hashed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "n_shingles", "component_id", "kept", "row")
+    )
+
+
+def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents, all columns as they were, of which one of each component of ``near_duplicates`` stays: the one
+    with the least doc_id. Documents without words all stay. Rows repeated whole are one document and stay together.
+
+    The rows that go are broadcast only if counted to be few, else joined by a shuffle of the documents.
+    """
+    gone = materialized(near_duplicates(docs, doc_id, text, **options).where("not kept").select(F.col("row").alias("__row")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    return (
+        docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
+        .join(F.broadcast(gone) if few else gone, "__row", "left_anti").select(*docs.columns)
     )

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op3_minhash")
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
 
 @query("op4_quality")

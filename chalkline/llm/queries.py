@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, hosts, lines, minhash, mixing, quality, secrets
+from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -224,3 +224,8 @@ def mixing_sql(documents: str) -> str:
 @query("op2_mixing", mixing_sql("documents"))
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "epoch", "n_words")
+
+
+@query("op1_embeddings")
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))

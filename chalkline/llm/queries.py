@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, quality, secrets
+from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,3 +229,23 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_embeddings")
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op5_nearest",
+    """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+        where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ),
+    scored as (
+        select q.vec_id as query_id, d.vec_id as vec_id, list_inner_product(q.e, d.e)::bigint as score
+        from v q join v d on q.vec_id % 100 = 0 and q.vec_id <> d.vec_id and len(q.e) = len(d.e)
+    ),
+    ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
+    select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+)
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top_by_inner_product(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

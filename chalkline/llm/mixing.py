@@ -103,7 +103,7 @@ def mix(
     placed = counted.join(plan.where(F.col("full") < epochs), keys).select(*keys, place.alias("place"), "n_words", "over", "ranges")
     at = materialized(
         placed.groupBy(*keys, "over", "ranges", "place").agg(F.sum("n_words").alias("n_words"))
-        .withColumn("range", F.floor(F.col("place") * F.col("ranges") / PLACES)),
+        .withColumn("range", F.floor(F.col("place") / PLACES * F.col("ranges"))),
         "mix-places",
     )
     so_far = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)

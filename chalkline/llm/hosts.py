@@ -64,7 +64,7 @@ def _shrunk(level: DataFrame, prior: Column) -> DataFrame:
         F.sum(F.col("total") * F.col("prior") * (1 - F.col("prior"))).alias("mean_variance"),
     )
     # E[between] = v * (k + rho * (n - k)) for a mean variance v of single outcomes and a correlation rho within groups
-    rho = (F.col("between") * F.col("n") / F.col("mean_variance") - F.col("k")) / (F.col("n") - F.col("k"))
+    rho = F.try_divide(F.try_divide(F.col("between") * F.col("n"), F.col("mean_variance")) - F.col("k"), F.col("n") - F.col("k"))
     strength = F.when(
         (F.col("mean_variance") > 0) & (F.col("n") > F.col("k")),
         F.round(F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.when(rho > 0, 1 / rho - 1).otherwise(STRONGEST))), 6),
@@ -93,7 +93,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     sums = (F.sum("good").alias("good"), F.sum("total").alias("total"))
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    overall = suffixes.agg((F.sum("good") / F.sum("total")).alias("share")).scalar()
+    overall = suffixes.agg(F.try_divide(F.sum("good"), F.sum("total")).alias("share")).scalar()
     suffix_level = _shrunk(suffixes, overall).select("suffix", _mean().alias("suffix_mean"))
     domain_level = _shrunk(domains.join(suffix_level, "suffix"), F.col("suffix_mean")).select("domain", "suffix", _mean().alias("domain_mean"))
     a, b = F.col("alpha"), F.col("beta")

@@ -31,13 +31,12 @@ def unescaped(text: Column) -> Column:
 
 
 def _role_out(role: Column) -> Column:
-    return F.replace(F.replace(escaped(role), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    """On one line: a backslash becomes \\b, a line end \\n."""
+    return F.replace(F.replace(escaped(role), F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n"))
 
 
 def _role_in(role: Column) -> Column:
-    """Undoes ``_role_out``; two backslashes are set aside as a character that a role part cannot hold: a line end."""
-    aside = F.replace(role, F.lit("\\\\"), F.lit("\n"))
-    return unescaped(F.replace(F.replace(F.replace(aside, F.lit("\\n"), F.lit("\x00n")), F.lit("\n"), F.lit("\\")), F.lit("\x00n"), F.lit("\n")))
+    return unescaped(F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\")))
 
 
 def paths(kind: DataType, at: str = "") -> list[str]:

@@ -132,12 +132,11 @@ def enrolment_summary(
     members: DataFrame,
     schools: DataFrame,
     sections: DataFrame,
-    grades: Sequence[int],
     expected: Sequence[str],
     group: str = "district_id",
     entity: str = "student_id",
 ) -> DataFrame:
-    """Per group: entities, schools, sections, rows per grade and how complete the expected fields are.
+    """Per group: entities, schools, sections and how complete the expected fields are.
 
     ``members`` already carries the group.
     """
@@ -145,7 +144,6 @@ def enrolment_summary(
     per_group = members.groupBy(group).agg(
         F.count_distinct(entity).alias("students"),
         F.avg(filled).alias("completeness"),
-        *[F.count_if(F.col("grade_level") == g).alias(f"grade_{g}") for g in grades],
     )
     school_counts = schools.groupBy(group).agg(F.count_distinct("school_id").alias("schools"))
     per_school = sections.groupBy("school_id").agg(F.count_distinct("section_id").alias("__sections"))
@@ -156,6 +154,11 @@ def enrolment_summary(
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in ("schools", "sections")})
 
 
+def enrolment_by_grade(members: DataFrame, group: str = "district_id", grade: str = "grade_level") -> DataFrame:
+    """Rows of every grade that occurs in a group, NULL among them."""
+    return members.groupBy(group, grade).agg(F.count(F.lit(1)).alias("rows"))
+
+
 # --- prerequisites ----------------------------------------------------------
 
 
@@ -185,27 +188,26 @@ def prerequisite_failures(
     )
 
 
-def ancestors(items: DataFrame, item: str, parent: str, max_depth: int = 1000) -> DataFrame:
-    """Every (item, ancestor, depth) of the prerequisite links.
+def ancestors(items: DataFrame, item: str, parent: str) -> DataFrame:
+    """Every (item, ancestor, depth) of the prerequisite links, depth being the shortest way; nothing is its own ancestor.
 
-    A path ends where it would close a cycle; one deeper than ``max_depth`` is an
-    error.  The links are written first, since every level reads them again.
+    Breadth first: each level holds the distinct pairs reached for the first time, so work follows the pairs, not the
+    paths, and a cycle ends by itself.  Levels are written to the shared folder, as the next ones read them again.
     """
-    links = items.filter(F.col(parent).isNotNull()).select(F.col(item).alias("child"), F.col(parent).alias("parent"))
-    edges = materialized(links.distinct(), "links")
-    return items.sparkSession.sql(
-        f"""
-        WITH RECURSIVE chain(item, ancestor, depth, seen) MAX RECURSION LEVEL {int(max_depth)} AS (
-            SELECT child, parent, 1, array(child, parent) FROM {{edges}}
-            UNION ALL
-            SELECT c.item, e.parent, c.depth + 1, array_append(c.seen, e.parent)
-            FROM chain c JOIN {{edges}} e ON c.ancestor = e.child
-            WHERE NOT array_contains(c.seen, e.parent)
-        )
-        SELECT item, ancestor, min(depth) AS depth FROM (SELECT * FROM chain LIMIT ALL) GROUP BY item, ancestor
-        """,
-        edges=edges,
-    )
+    links = items.filter(F.col(parent).isNotNull()).select(F.col(item).alias("item"), F.col(parent).alias("ancestor"))
+    edges = materialized(links.where("item != ancestor").distinct(), "links")
+    level = edges.withColumn("depth", F.lit(1))
+    steps = edges.select(F.col("item").alias("ancestor"), F.col("ancestor").alias("next"))
+    found = [level]
+    while not level.isEmpty():
+        further = (
+            level.join(steps, "ancestor").select("item", F.col("next").alias("ancestor"), F.col("depth") + 1)
+            .toDF("item", "ancestor", "depth").where("item != ancestor").distinct()
+        )
+        seen = reduce(DataFrame.unionByName, found).select("item", "ancestor")
+        level = materialized(further.join(seen, ["item", "ancestor"], "left_anti"), "level")
+        found.append(level)
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- risk and attendance ----------------------------------------------------

@@ -90,51 +90,156 @@ def gates(tables: Frames, as_of: Column) -> Frames:
 
 # --- declared checks --------------------------------------------------------
 
-# Fixed values, one line per table: columns that must not be NULL, a trailing
-# "?" for those that only warn.
-NOT_NULL = {
-    f"{XML_SOURCE}.students": "student_id _source_system _loaded_at",
-    f"{XML_SOURCE}.schools": "school_id school_name _source_system _loaded_at",
-    f"{XML_SOURCE}.enrollments": "student_id school_id _source_system _loaded_at",
-    f"{XML_SOURCE}.sections": "section_id school_id course_name _source_system _loaded_at",
-    f"{XML_SOURCE}.section_associations": "student_id section_id _source_system _loaded_at",
-    f"{XML_SOURCE}.staff": "staff_id _source_system _loaded_at",
-    f"{XML_SOURCE}.grades": "student_id section_id _source_system _loaded_at",
-    f"{XML_SOURCE}.assessment_results": "student_id assessment_id _source_system _loaded_at",
-    f"{XML_SOURCE}.attendance": "student_id school_id event_date _source_system _loaded_at",
-    f"{XML_SOURCE}.standards": "standard_code _source_system _loaded_at",
-    f"{CSV_SOURCE}.users": "sourced_id role _source_system _loaded_at",
-    f"{CSV_SOURCE}.orgs": "org_id org_name org_type _source_system _loaded_at",
-    f"{CSV_SOURCE}.enrollments": "sourced_id class_sourced_id user_sourced_id role _source_system _loaded_at",
-    f"{CSV_SOURCE}.classes": "sourced_id title school_sourced_id _source_system _loaded_at",
-    f"{CSV_SOURCE}.courses": "sourced_id title _source_system _loaded_at",
-    f"{CSV_SOURCE}.results": "sourced_id line_item_sourced_id student_sourced_id _source_system _loaded_at",
-    f"{CSV_SOURCE}.line_items": "sourced_id title class_sourced_id _source_system _loaded_at",
-    f"{CSV_SOURCE}.academic_sessions": "sourced_id title type _source_system _loaded_at",
-    f"{CSV_SOURCE}.demographics": "sourced_id _source_system _loaded_at",
-    "int_students": "student_id? _source_system",
-    "int_schools": "school_id school_name _source_system",
-    "int_enrollments": "student_id? school_id _source_system",
-    "int_sections": "section_id school_id _source_system",
-    "int_staff": "staff_id _source_system",
-    "int_grades": "student_id? section_id grading_period _source_system",
-    "int_assessments": "student_id assessment_id _source_system",
-    "int_attendance": "student_id school_id event_date attendance_status _source_system",
-    "int_standards": "standard_code",
-    "dim_student": "student_id? _source_system",
-    "dim_school": "school_id school_name _source_system",
-    "dim_standard": "standard_code standard_description",
-    "dim_section": "section_id school_id _source_system",
-    "dim_misconception_pattern": "misconception_id standard_code pattern_label",
-    "fact_student_mastery_daily": "student_id standard_code date_key? _source_system max_score_to_date mastery_level",
-    "fact_assessment_responses": (
-        "student_id assessment_id question_number standard_code assessment_date? is_correct _source_system"
-    ),
-    "fact_attendance_daily": "student_id school_id event_date status _source_system",
-    "fact_dq_quarantine_log": "source_system entity_type record_id rule_name quarantined_at",
-    "agg_early_warning": "student_id risk_level",
-    "agg_district_comparison": "standard_code student_count",
-}
+# Fixed values: (table, column, severity) of columns that must not be NULL.
+NOT_NULL = (
+    (f"{XML_SOURCE}.students", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.students", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.students", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.schools", "school_id", quality.ERROR),
+    (f"{XML_SOURCE}.schools", "school_name", quality.ERROR),
+    (f"{XML_SOURCE}.schools", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.schools", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.enrollments", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.enrollments", "school_id", quality.ERROR),
+    (f"{XML_SOURCE}.enrollments", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.enrollments", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.sections", "section_id", quality.ERROR),
+    (f"{XML_SOURCE}.sections", "school_id", quality.ERROR),
+    (f"{XML_SOURCE}.sections", "course_name", quality.ERROR),
+    (f"{XML_SOURCE}.sections", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.sections", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.section_associations", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.section_associations", "section_id", quality.ERROR),
+    (f"{XML_SOURCE}.section_associations", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.section_associations", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.staff", "staff_id", quality.ERROR),
+    (f"{XML_SOURCE}.staff", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.staff", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.grades", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.grades", "section_id", quality.ERROR),
+    (f"{XML_SOURCE}.grades", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.grades", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.assessment_results", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.assessment_results", "assessment_id", quality.ERROR),
+    (f"{XML_SOURCE}.assessment_results", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.assessment_results", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.attendance", "student_id", quality.ERROR),
+    (f"{XML_SOURCE}.attendance", "school_id", quality.ERROR),
+    (f"{XML_SOURCE}.attendance", "event_date", quality.ERROR),
+    (f"{XML_SOURCE}.attendance", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.attendance", "_loaded_at", quality.ERROR),
+    (f"{XML_SOURCE}.standards", "standard_code", quality.ERROR),
+    (f"{XML_SOURCE}.standards", "_source_system", quality.ERROR),
+    (f"{XML_SOURCE}.standards", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.users", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.users", "role", quality.ERROR),
+    (f"{CSV_SOURCE}.users", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.users", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.orgs", "org_id", quality.ERROR),
+    (f"{CSV_SOURCE}.orgs", "org_name", quality.ERROR),
+    (f"{CSV_SOURCE}.orgs", "org_type", quality.ERROR),
+    (f"{CSV_SOURCE}.orgs", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.orgs", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "class_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "user_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "role", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.enrollments", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.classes", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.classes", "title", quality.ERROR),
+    (f"{CSV_SOURCE}.classes", "school_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.classes", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.classes", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.courses", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.courses", "title", quality.ERROR),
+    (f"{CSV_SOURCE}.courses", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.courses", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.results", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.results", "line_item_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.results", "student_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.results", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.results", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.line_items", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.line_items", "title", quality.ERROR),
+    (f"{CSV_SOURCE}.line_items", "class_sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.line_items", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.line_items", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.academic_sessions", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.academic_sessions", "title", quality.ERROR),
+    (f"{CSV_SOURCE}.academic_sessions", "type", quality.ERROR),
+    (f"{CSV_SOURCE}.academic_sessions", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.academic_sessions", "_loaded_at", quality.ERROR),
+    (f"{CSV_SOURCE}.demographics", "sourced_id", quality.ERROR),
+    (f"{CSV_SOURCE}.demographics", "_source_system", quality.ERROR),
+    (f"{CSV_SOURCE}.demographics", "_loaded_at", quality.ERROR),
+    ("int_students", "student_id", quality.WARN),
+    ("int_students", "_source_system", quality.ERROR),
+    ("int_schools", "school_id", quality.ERROR),
+    ("int_schools", "school_name", quality.ERROR),
+    ("int_schools", "_source_system", quality.ERROR),
+    ("int_enrollments", "student_id", quality.WARN),
+    ("int_enrollments", "school_id", quality.ERROR),
+    ("int_enrollments", "_source_system", quality.ERROR),
+    ("int_sections", "section_id", quality.ERROR),
+    ("int_sections", "school_id", quality.ERROR),
+    ("int_sections", "_source_system", quality.ERROR),
+    ("int_staff", "staff_id", quality.ERROR),
+    ("int_staff", "_source_system", quality.ERROR),
+    ("int_grades", "student_id", quality.WARN),
+    ("int_grades", "section_id", quality.ERROR),
+    ("int_grades", "grading_period", quality.ERROR),
+    ("int_grades", "_source_system", quality.ERROR),
+    ("int_assessments", "student_id", quality.ERROR),
+    ("int_assessments", "assessment_id", quality.ERROR),
+    ("int_assessments", "_source_system", quality.ERROR),
+    ("int_attendance", "student_id", quality.ERROR),
+    ("int_attendance", "school_id", quality.ERROR),
+    ("int_attendance", "event_date", quality.ERROR),
+    ("int_attendance", "attendance_status", quality.ERROR),
+    ("int_attendance", "_source_system", quality.ERROR),
+    ("int_standards", "standard_code", quality.ERROR),
+    ("dim_student", "student_id", quality.WARN),
+    ("dim_student", "_source_system", quality.ERROR),
+    ("dim_school", "school_id", quality.ERROR),
+    ("dim_school", "school_name", quality.ERROR),
+    ("dim_school", "_source_system", quality.ERROR),
+    ("dim_standard", "standard_code", quality.ERROR),
+    ("dim_standard", "standard_description", quality.ERROR),
+    ("dim_section", "section_id", quality.ERROR),
+    ("dim_section", "school_id", quality.ERROR),
+    ("dim_section", "_source_system", quality.ERROR),
+    ("dim_misconception_pattern", "misconception_id", quality.ERROR),
+    ("dim_misconception_pattern", "standard_code", quality.ERROR),
+    ("dim_misconception_pattern", "pattern_label", quality.ERROR),
+    ("fact_student_mastery_daily", "student_id", quality.ERROR),
+    ("fact_student_mastery_daily", "standard_code", quality.ERROR),
+    ("fact_student_mastery_daily", "date_key", quality.WARN),
+    ("fact_student_mastery_daily", "_source_system", quality.ERROR),
+    ("fact_student_mastery_daily", "max_score_to_date", quality.ERROR),
+    ("fact_student_mastery_daily", "mastery_level", quality.ERROR),
+    ("fact_assessment_responses", "student_id", quality.ERROR),
+    ("fact_assessment_responses", "assessment_id", quality.ERROR),
+    ("fact_assessment_responses", "question_number", quality.ERROR),
+    ("fact_assessment_responses", "standard_code", quality.ERROR),
+    ("fact_assessment_responses", "assessment_date", quality.WARN),
+    ("fact_assessment_responses", "is_correct", quality.ERROR),
+    ("fact_assessment_responses", "_source_system", quality.ERROR),
+    ("fact_attendance_daily", "student_id", quality.ERROR),
+    ("fact_attendance_daily", "school_id", quality.ERROR),
+    ("fact_attendance_daily", "event_date", quality.ERROR),
+    ("fact_attendance_daily", "status", quality.ERROR),
+    ("fact_attendance_daily", "_source_system", quality.ERROR),
+    ("fact_dq_quarantine_log", "source_system", quality.ERROR),
+    ("fact_dq_quarantine_log", "entity_type", quality.ERROR),
+    ("fact_dq_quarantine_log", "record_id", quality.ERROR),
+    ("fact_dq_quarantine_log", "rule_name", quality.ERROR),
+    ("fact_dq_quarantine_log", "quarantined_at", quality.ERROR),
+    ("agg_early_warning", "student_id", quality.ERROR),
+    ("agg_early_warning", "risk_level", quality.ERROR),
+    ("agg_district_comparison", "standard_code", quality.ERROR),
+    ("agg_district_comparison", "student_count", quality.ERROR),
+)
 
 # Columns whose values must not repeat.
 UNIQUE = {
@@ -189,11 +294,11 @@ ACCEPTED = {
 def declared_checks(tables: Frames) -> list[DataFrame]:
     """Report rows of every declared check whose tables are at hand."""
     rows = []
-    for table, listed in NOT_NULL.items():
-        if table in tables:
-            names = listed.split()
-            warn = [n[:-1] for n in names if n.endswith("?")]
-            rows.append(quality.not_null(tables[table], table, [n.rstrip("?") for n in names], warn))
+    for table in dict.fromkeys(t for t, _, _ in NOT_NULL):
+        if table in tables:  # all columns of a table in one pass
+            names = [c for t, c, _ in NOT_NULL if t == table]
+            warn = [c for t, c, severity in NOT_NULL if t == table and severity == quality.WARN]
+            rows.append(quality.not_null(tables[table], table, names, warn))
     rows += [quality.unique(tables[t], t, c) for t, c in UNIQUE.items() if t in tables]
     rows += [
         quality.relationships(tables[t], t, fk, tables[parent], pk, severity)

@@ -398,12 +398,11 @@ def left_lookup(m: Model) -> DataFrame:
     "fan_out_left_join",
     """SELECT c_custkey, o_orderkey, o_totalprice FROM
          (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS c_custkey FROM customer) c
-       LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) o ON c_custkey = o_custkey""",
+       LEFT JOIN orders o ON c_custkey = o_custkey""",
 )
 def fan_out_left_join(m: Model) -> DataFrame:
     left = m.t["customer"].select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("c_custkey"))
-    right = m.t["orders"].filter("o_totalprice > 300000")
-    return joins.fan_out(left, right, {"c_custkey": "o_custkey"}, ["o_orderkey", "o_totalprice"])
+    return joins.fan_out(left, m.t["orders"], {"c_custkey": "o_custkey"}, ["o_orderkey", "o_totalprice"])
 
 
 @query(
@@ -441,7 +440,7 @@ def rows_below_band(m: Model) -> DataFrame:
 
 
 _PATTERNS = """(SELECT l_linestatus AS s, l_returnflag AS f, 'pattern ' || l_returnflag AS label, 'note ' || l_linestatus AS note
-    FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL)"""
+    FROM lineitem GROUP BY ALL)"""
 
 
 @query(
@@ -453,7 +452,6 @@ def tagged_with_patterns(m: Model) -> DataFrame:
     lines = m.t["lineitem"].withColumn("expected", F.lit("N"))
     patterns = (
         m.t["lineitem"]
-        .filter("l_linenumber = 1")
         .select(F.col("l_linestatus").alias("s"), F.col("l_returnflag").alias("f"))
         .distinct()
         .select(
@@ -571,13 +569,15 @@ def top_orders(m: Model) -> DataFrame:
     return analytics.top_rows(m.t["orders"].select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.col("o_orderkey")], 20)
 
 
-@query(
-    "rows_per_table",
-    """SELECT 'orders' AS "table", count(*) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-       UNION ALL SELECT 'events', count(*) FROM events""",
-)
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
+
+
+@query("rows_per_table", " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS rows FROM {t}""" for t in _TABLES))
 def rows_per_table(m: Model) -> DataFrame:
-    return analytics.row_counts({name: m.t[name] for name in ("orders", "lineitem", "events")})
+    return analytics.row_counts({name: m.t[name] for name in _TABLES})
 
 
 @query(

@@ -13,6 +13,8 @@ from chalkline.registry import bindings as b
 from chalkline.registry.base import query, rounded
 from chalkline.registry.model import Model
 from chalkline.registry.oracle import LEVEL, with_models
+from chalkline.session import materialized
+from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, XML_ENTITIES, XML_SOURCE
 
 
 def latest(m: Model) -> DataFrame:
@@ -175,46 +177,52 @@ def dangling_sections(m: Model) -> DataFrame:
 
 # --- declared checks ---------------------------------------------------------------
 
-_CHECKED = ("int_students", "int_schools", "int_enrollments", "int_sections", "int_grades", "int_attendance", "agg_early_warning")
-
-
-def _not_null_sql() -> str:
-    rows = []
-    for table, listed in checks.NOT_NULL.items():
-        for name in listed.split() if table in _CHECKED else ():
-            column, severity = name.rstrip("?"), "warn" if name.endswith("?") else "error"
-            rows.append(
-                f"SELECT 'not_null' AS \"check\", '{table}' AS \"table\", '{column}' AS \"column\", '{severity}' AS severity, "
-                f"count(*) FILTER (WHERE {column} IS NULL) AS violations FROM {table}"
-            )
-    for table, column in checks.UNIQUE.items():
-        if table in _CHECKED:
-            rows.append(
-                f"SELECT 'unique', '{table}', '{column}', 'error', count(*) FROM (SELECT {column} FROM {table} "
-                f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1) d"
-            )
-    for table, column, parent, key, severity in checks.RELATIONSHIPS:
-        if table in _CHECKED and parent in _CHECKED:
-            rows.append(
-                f"SELECT 'relationships', '{table}', '{column}', '{severity}', count(*) FROM {table} "
-                f"WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
-            )
-    rows.append(
-        "SELECT 'accepted_values', 'agg_early_warning', 'risk_level', 'error', count(DISTINCT risk_level) "
-        "FROM agg_early_warning WHERE risk_level NOT IN ('High', 'Medium', 'Low')"
-    )
+_CHECKED = tuple(dict.fromkeys(t for t, _, _ in checks.NOT_NULL))
+
+
+def _checked_sql() -> str:
+    rows = [
+        f"SELECT 'not_null' AS \"check\", '{table}' AS \"table\", '{column}' AS \"column\", '{severity}' AS severity, "
+        f"count(*) FILTER (WHERE {column} IS NULL) AS violations FROM \"{table}\""
+        for table, column, severity in checks.NOT_NULL
+    ]
+    rows += [
+        f"SELECT 'unique', '{table}', '{column}', 'error', count(*) FROM (SELECT {column} FROM \"{table}\" "
+        f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1) d"
+        for table, column in checks.UNIQUE.items()
+    ]
+    rows += [
+        f"SELECT 'relationships', '{table}', '{column}', '{severity}', count(*) FROM \"{table}\" "
+        f"WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM \"{parent}\" WHERE {key} IS NOT NULL)"
+        for table, column, parent, key, severity in checks.RELATIONSHIPS
+    ]
+    rows += [
+        f"SELECT 'accepted_values', '{table}', '{column}', 'error', count(DISTINCT {column}) FROM \"{table}\" "
+        f"WHERE {column} NOT IN ({', '.join(repr(v) for v in values)})"
+        for (table, column), values in checks.ACCEPTED.items()
+    ]
     return " UNION ALL ".join(rows)
 
 
+def _checked_tables(m: Model) -> dict[str, DataFrame]:
+    """Every table with declared checks, written once, as several checks read it."""
+    out = {}
+    for name in _CHECKED:
+        source, _, entity = name.partition(".")
+        out[name] = materialized(m.staged(source, entity) if entity else m.table[name], "checked")
+    return out
+
+
 @query(
     "declared_check_report",
     with_models(
         f"""SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
-            FROM ({_not_null_sql()}) r"""
+            FROM ({_checked_sql()}) r"""
     ),
 )
 def declared_check_report(m: Model) -> DataFrame:
-    return quality.report(checks.declared_checks({name: m.table[name] for name in _CHECKED}))
+    """All declared checks of all layers."""
+    return quality.report(checks.declared_checks(_checked_tables(m)))
 
 
 @query(
@@ -367,7 +375,8 @@ def grade_course_violations(m: Model) -> DataFrame:
 
 # --- mastery reports ---------------------------------------------------------------------
 
-_HEAT = ["STD-1", "STD-2", "STD-3", "click", "view"]
+# All standards of the bound tables: one for each line number, one for each event type.
+_HEAT = [*(f"STD-{k}" for k in range(1, 8)), "click", "error", "purchase", "signup", "view"]
 
 
 @query(
@@ -550,9 +559,7 @@ def better_curriculum(m: Model) -> DataFrame:
         """SELECT d.district_id, count(DISTINCT student_id) AS students,
                   round(avg((CASE WHEN birth_year IS NOT NULL THEN 1.0 ELSE 0.0 END
                              + CASE WHEN grade_level IS NOT NULL THEN 1.0 ELSE 0.0 END) / 2), 9) AS completeness,
-                  count(*) FILTER (WHERE grade_level = 0) AS grade_0, count(*) FILTER (WHERE grade_level = 1) AS grade_1,
-                  count(*) FILTER (WHERE grade_level = 7) AS grade_7, any_value(n.schools) AS schools,
-                  any_value(n.sections) AS sections
+                  any_value(n.schools) AS schools, any_value(n.sections) AS sections
            FROM members d JOIN (
              SELECT district_id, count(DISTINCT c.school_id) AS schools, count(DISTINCT s.section_id) AS sections
              FROM dim_school c LEFT JOIN dim_section s ON s.school_id = c.school_id GROUP BY district_id) n
@@ -563,11 +570,19 @@ def better_curriculum(m: Model) -> DataFrame:
 def enrolment_summary(m: Model) -> DataFrame:
     rows = k12.members(m.table["dim_student"], m.table["dim_school"])
     out = analytics.enrolment_summary(
-        rows, m.table["dim_school"], m.table["dim_section"], [0, 1, 7], ["birth_year", "grade_level"]
+        rows, m.table["dim_school"], m.table["dim_section"], ["birth_year", "grade_level"]
     )
     return rounded(out, "completeness")
 
 
+@query(
+    "enrolment_by_grade",
+    with_models("SELECT district_id, grade_level, count(*) AS rows FROM members GROUP BY ALL"),
+)
+def enrolment_by_grade(m: Model) -> DataFrame:
+    return analytics.enrolment_by_grade(k12.members(m.table["dim_student"], m.table["dim_school"]))
+
+
 @query(
     "wide_student",
     with_models(
@@ -808,21 +823,29 @@ def overview_kpis(m: Model) -> DataFrame:
     )
 
 
+_GOLD = (
+    "dim_student", "dim_school", "dim_section", "dim_standard", "dim_misconception_pattern", "fact_student_mastery_daily",
+    "fact_assessment_responses", "fact_attendance_daily", "agg_early_warning", "agg_district_comparison",
+)
+
+
 @query(
     "layer_counts",
     with_models(
-        """SELECT 'silver' AS layer, (SELECT count(*) FROM x_enrollments) + (SELECT count(*) FROM c_results) AS rows
-           UNION ALL SELECT 'gold', (SELECT count(*) FROM dim_student) + (SELECT count(*) FROM fact_student_mastery_daily)
-           UNION ALL SELECT 'quarantined', count(*) FROM fact_dq_quarantine_log"""
+        "SELECT 'silver' AS layer, "
+        + " + ".join(f"(SELECT count(*) FROM x_{n})" for n in XML_ENTITIES)
+        + " + "
+        + " + ".join(f"(SELECT count(*) FROM c_{n})" for n in CSV_ENTITIES)
+        + " AS rows UNION ALL SELECT 'gold', "
+        + " + ".join(f"(SELECT count(*) FROM {n})" for n in _GOLD)
+        + " UNION ALL SELECT 'quarantined', count(*) FROM fact_dq_quarantine_log"
     ),
 )
 def layer_counts(m: Model) -> DataFrame:
+    silver = {f"{XML_SOURCE}.{n}": m.silver(XML_SOURCE, n) for n in XML_ENTITIES}
+    silver |= {f"{CSV_SOURCE}.{n}": m.silver(CSV_SOURCE, n) for n in CSV_ENTITIES}
     return analytics.layer_counts(
-        {
-            "silver": {"enrollments": m.xml["enrollments"], "results": m.csv["results"]},
-            "gold": {n: m.table[n] for n in ("dim_student", "fact_student_mastery_daily")},
-            "quarantined": {"log": m.table["fact_dq_quarantine_log"]},
-        }
+        {"silver": silver, "gold": {n: m.table[n] for n in _GOLD}, "quarantined": {"log": m.table["fact_dq_quarantine_log"]}}
     )
 
 

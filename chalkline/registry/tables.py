@@ -9,11 +9,10 @@ from chalkline.operators import pii
 from chalkline.operators.analytics import row_counts
 from chalkline.plans import k12, pipeline
 from chalkline.plans.queries import query as sql_query
-from chalkline.plans.staging import staged_columns
 from chalkline.registry import bindings as b
 from chalkline.registry.base import add, query, rounded
 from chalkline.registry.model import Model
-from chalkline.registry.oracle import with_models
+from chalkline.registry.oracle import staged, with_models
 from chalkline.session import scratch_path
 from chalkline.sources import readers, sinks
 from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, XML_ENTITIES, XML_SOURCE
@@ -158,16 +157,18 @@ def parquet_sink_overwrite(m: Model) -> DataFrame:
     return sinks.write_parquet(rows, path)
 
 
+_STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
 @query(
     "registered_parquet_directories",
-    """SELECT 'customer' AS "table", count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders""",
+    " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS rows FROM {t}""" for t in _STAR),
 )
 def registered_parquet_directories(m: Model) -> DataFrame:
     path = scratch_path(m.spark, "tables")
-    sinks.write_all({name: m.t[name] for name in ("customer", "orders")}, path)
+    sinks.write_all({name: m.t[name] for name in _STAR}, path)
     sinks.write_parquet(m.t["region"], f"{path}/_hidden")
-    names = sinks.table_directories(m.spark, path)
-    return row_counts({name: m.spark.read.parquet(f"{path}/{name}") for name in names})
+    return row_counts(sinks.register_parquet_dir(m.spark, path, f"registered_{path.rsplit('-', 1)[-1]}"))
 
 
 @query(
@@ -187,20 +188,9 @@ def adhoc_sql(m: Model) -> DataFrame:
 
 # --- staging views ------------------------------------------------------------
 
-_HASHED_SILVER = {
-    (XML_SOURCE, "students"): """(SELECT student_id AS student_unique_id, first_name_hash, last_name_hash, email_hash,
-        birth_year, _source_system, _loaded_at FROM m_students)""",
-    (CSV_SOURCE, "users"): "m_users",
-}
-for _source, _entities, _letter in ((XML_SOURCE, XML_ENTITIES, "x"), (CSV_SOURCE, CSV_ENTITIES, "c")):
+for _source, _entities in ((XML_SOURCE, XML_ENTITIES), (CSV_SOURCE, CSV_ENTITIES)):
     for _name in _entities:
-        _cols = ", ".join(f"{old} AS {new}" for new, old in staged_columns(_source, _name).items())
-        _from = _HASHED_SILVER.get((_source, _name), f"{_letter}_{_name}")
-        add(
-            f"stg_{_source}__{_name}",
-            lambda m, s=_source, n=_name: m.staged(s, n),
-            with_models(f"SELECT {_cols} FROM {_from} silver"),
-        )
+        add(f"stg_{_source}__{_name}", lambda m, s=_source, n=_name: m.staged(s, n), with_models(staged(_source, _name)))
 
 # --- unified and published tables ---------------------------------------------
 
@@ -294,22 +284,24 @@ def hash_pii_columns(m: Model) -> DataFrame:
     return pii.hash_pii_columns(rows, ["s_name"], "mail", "born")
 
 
+_SHAPES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "birth_date": r"(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}",
+    "phone": r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
+}
+
+
 @query(
     "pii_inventory",
-    r"""SELECT 'text' AS column_name, 'email' AS shape,
-               count(*) FILTER (WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS hits,
-               false AS forbidden_name FROM documents
-        UNION ALL SELECT 'source', 'email',
-               count(*) FILTER (WHERE regexp_matches(source, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')), false
-        FROM documents
-        UNION ALL SELECT 'text', 'phone', count(*) FILTER (WHERE regexp_matches(text, '[0-9]{3}-[0-9]{3}-[0-9]{4}')), false
-        FROM documents
-        UNION ALL SELECT 'source', 'phone', count(*) FILTER (WHERE regexp_matches(source, '[0-9]{3}-[0-9]{3}-[0-9]{4}')), false
-        FROM documents""",
+    " UNION ALL ".join(
+        f"""SELECT '{column}' AS column_name, '{shape}' AS shape,
+                   count(*) FILTER (WHERE regexp_matches({column}, '{pattern}')) AS hits, false AS forbidden_name FROM documents"""
+        for column in ("text", "lang", "source")
+        for shape, pattern in _SHAPES.items()
+    ),
 )
 def pii_inventory(m: Model) -> DataFrame:
-    shapes = {"email": pii.PII_SHAPES["email"], "phone": r"[0-9]{3}-[0-9]{3}-[0-9]{4}"}
-    return pii.pii_inventory(m.t["documents"].select("text", "source"), shapes)
+    return pii.pii_inventory(m.t["documents"], _SHAPES)
 
 
 @query(

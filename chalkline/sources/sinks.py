@@ -37,23 +37,22 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def table_directories(spark: SparkSession, directory: str) -> list[str]:
-    """Names of the sub-directories holding Parquet files; hidden ones are left out."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(directory)
-        .select("path")
-    )
-    below = F.regexp_extract("path", rf"{re.escape(directory.rstrip('/'))}/([^/]+)/", 1)
-    names = files.select(below.alias("name")).filter((F.col("name") != "") & ~F.col("name").rlike(r"^[_.]"))
-    return [r.name for r in names.distinct().orderBy("name").collect()]
+    """Names of the sub-directories; hidden ones are left out.
+
+    One level is listed, with the file system that Spark uses for the path.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def register_parquet_dir(spark: SparkSession, directory: str, database: str = "silver") -> dict[str, DataFrame]:
-    """One catalog table per Parquet directory below ``directory``; replaces what was there."""
+    """One catalog table per Parquet directory below ``directory``, read in place; replaces what bore the name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     tables = {}
     for name in table_directories(spark, directory):
-        tables[name] = publish(spark.read.parquet(f"{directory}/{name}"), name, database)
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{directory}/{name}'")
+        tables[name] = spark.table(f"`{database}`.`{name}`")
     return tables

@@ -88,15 +88,20 @@ def bronze_to_silver(
     parquet_output: str,
     loaded_at: str | None = None,
     register: bool = False,
+    run_ts: datetime | Column | None = None,
 ) -> dict[str, Frames]:
     """Parse, mask, write.  A source given as None is skipped.
 
+    Broken XML elements are logged below ``parquet_output``/malformed.
+
     Personal data is masked before the first write, so no raw copy of the
     students or users table ever reaches the output folder.
     """
     out: dict[str, Frames] = {}
     if xml_input is not None:
         out[XML_SOURCE] = sinks.write_all(xml_silver(spark, xml_input, loaded_at), f"{parquet_output}/{XML_SOURCE}")
+        logged = malformed_log(spark, xml_input, F.current_timestamp() if run_ts is None else run_ts)
+        sinks.write_parquet(logged, f"{parquet_output}/malformed")
     if csv_input is not None:
         out[CSV_SOURCE] = sinks.write_all(csv_silver(spark, csv_input, loaded_at), f"{parquet_output}/{CSV_SOURCE}")
     if register:
@@ -162,12 +167,8 @@ def run(
     loaded_at: str | None = None,
     database: str | None = None,
 ) -> Frames:
-    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named.
-
-    Broken XML elements are logged below ``parquet_output``/malformed.
-    """
-    silver = bronze_to_silver(spark, xml_input, csv_input, parquet_output, loaded_at)
-    sinks.write_parquet(malformed_log(spark, xml_input, run_ts), f"{parquet_output}/malformed")
+    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named."""
+    silver = bronze_to_silver(spark, xml_input, csv_input, parquet_output, loaded_at, run_ts=run_ts)
     seeds = readers.read_seeds(spark, seed_dir)
 
     def save(name: str, df: DataFrame) -> DataFrame:

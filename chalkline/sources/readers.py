@@ -69,17 +69,33 @@ def xml_text(value: Column) -> Column:
 def xml_elements(spark: SparkSession, path: str, row_tag: str, column: str = "element") -> DataFrame:
     """One row per ``row_tag`` element, as text.
 
-    The text reader splits at the closing tag, so one large file is read by many
-    tasks, and a broken element cannot swallow those behind it.  What lies
-    before the opening tag is the file's frame or elements without content.
+    The text reader splits at the opening tag, so one large file is read by many tasks and every piece shows whether its
+    element is closed: one that is not, as it is cut off or lacks its closing tag, comes out unclosed and does not parse,
+    and those behind it are not touched.  An element goes to the last closing tag of its piece, so a closing tag in a
+    CDATA section does not end it; an opening tag there makes two broken elements.  Elements with attributes are cut out
+    of the pieces, so a file that has only such is one piece.  Comments that hold an element are refused by an error.
+    What lies before the first element is the file's frame.
     """
-    closing, tag = f"</{row_tag}>", re.escape(row_tag)
-    start = F.regexp_instr("value", F.lit(rf"<{tag}(\s[^<>]*)?(?<!/)>"))
-    pieces = spark.read.text(path, lineSep=closing).select("value", start.alias("__start"))
-    before = F.when(F.col("__start") > 0, F.expr("substring(value, 1, __start - 1)")).otherwise(F.col("value"))
-    empty = F.regexp_extract_all(before, F.lit(rf"<{tag}(\s[^<>]*)?/>"), F.lit(0))
-    element = F.when(F.col("__start") > 0, F.concat(F.expr("substring(value, __start)"), F.lit(closing)))
-    return pieces.select(F.explode(F.array_compact(F.array_append(empty, element))).alias(column))
+    opening, closing, tag = f"<{row_tag}>", f"</{row_tag}>", re.escape(row_tag)
+    pieces = spark.read.text(path, lineSep=opening)
+    parts = pieces.select(F.posexplode(F.split("value", rf"(?=<{tag}\s[^<>]*(?<!/)>)", -1)).alias("__at", "__part"))
+    part = F.col("__part")
+    text = F.when(F.col("__at") == 0, F.concat(F.lit(opening), part)).otherwise(part)
+    closed = part.contains(closing)
+    behind = F.when(closed, F.substring_index(part, closing, -1)).otherwise(part)
+    bare = F.regexp_replace(part, rf"(?s)<!--.*?-->|<{tag}(\s[^<>]*)?/>", "")
+    frame = ~closed & (F.col("__at") == 0) & bare.rlike(r"^\x{FEFF}?\s*(<[?!]|(<[^<>/!?][^<>]*(?<!/)>\s*)?\z)")
+    open_comment = (closed | frame) & behind.contains("<!--") & ~F.substring_index(behind, "<!--", -1).contains("-->")
+    refused = F.raise_error(F.lit(f"a comment holds <{row_tag}> elements"))
+    element = (
+        F.when(open_comment, refused.cast("string"))
+        .when(closed, F.substring(text, F.lit(1), F.length(text) - F.length(behind)))
+        .when(~frame, text)
+    )
+    empty = F.when(closed | frame, F.regexp_extract_all(behind, F.lit(rf"<{tag}(\s[^<>]*)?/>"), F.lit(0))).otherwise(
+        F.array().cast("array<string>")
+    )
+    return parts.select(F.explode(F.array_compact(F.array_append(empty, element))).alias(column))
 
 
 def parse_elements(elements: DataFrame, entity: XmlEntity, column: str = "element", keep=()) -> DataFrame:

@@ -138,3 +138,34 @@ def test_register_parquet_directories(spark, tmp_path, rows):
 def test_string_schema():
     schema = readers.string_schema(["a", "b"])
     assert schema.simpleString() == "struct<a:string,b:string>" and all(f.nullable for f in schema)
+
+
+CODE = "<LearningStandard><StandardCode>{}</StandardCode></LearningStandard>"
+
+
+@pytest.mark.parametrize(
+    ("text", "good", "broken"),
+    [
+        ("<A>" + CODE.format(1) + "<LearningStandard><StandardCode>2</StandardCode><Grade>3</Grade>", ["1"], 1),
+        ("<A>" + CODE.format(1) + "<LearningStandard>", ["1"], 0),
+        ("<A><LearningStandard><StandardCode>1</StandardCode>" + CODE.format(2) + "</A>", ["2"], 1),
+        ("<?xml version='1.0'?><A>" + CODE.format(1) + "</LearningStandard>" + CODE.format(2) + "</A>", ["1", "2"], 0),
+        ("<A><!-- none here -->\n" + CODE.format(1) + "<!-- between -->" + CODE.format(2) + "</A>", ["1", "2"], 0),
+        ("<A>" + CODE.format("<![CDATA[1</LearningStandard>]]>") + CODE.format(2) + "</A>", ["1</LearningStandard>", "2"], 0),
+        ("<A>" + CODE.format("<![CDATA[<LearningStandard>]]>") + CODE.format(2) + "</A>", ["2"], 2),
+        ("<A>" + CODE.format(1) + CODE.format(2).replace("Standard>", "Standard id='x'>", 1) + CODE.format(3) + "</A>", ["1", "2", "3"], 0),
+        ("<A><LearningStandard/>" + CODE.format(1) + "<LearningStandard id='3'/></A>", [None, "1", None], 0),
+        ("", [], 0),
+    ],
+)
+def test_elements_are_those_of_the_file(spark, tmp_path, text, good, broken):
+    (tmp_path / "LearningStandards.xml").write_text(text)
+    codes = [r.standard_code for r in readers.read_xml(spark, str(tmp_path), "standards").collect()]
+    assert sorted(codes, key=str) == sorted(good, key=str)
+    assert readers.read_malformed_xml(spark, str(tmp_path), "standards").count() == broken
+
+
+def test_commented_elements_are_refused(spark, tmp_path):
+    (tmp_path / "LearningStandards.xml").write_text("<A>" + CODE.format(1) + "<!-- " + CODE.format(2) + " --></A>")
+    with pytest.raises(Exception, match="a comment holds <LearningStandard> elements"):
+        readers.read_xml(spark, str(tmp_path), "standards").collect()

@@ -18,7 +18,7 @@ from chalkline.plans import k12
 from chalkline.plans.staging import stage
 from chalkline.session import build_session
 from chalkline.sources import readers, sinks
-from chalkline.sources.specs import CSV_SOURCE, XML_ENTITIES, XML_SOURCE
+from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, XML_ENTITIES, XML_SOURCE
 
 Frames = dict[str, DataFrame]
 
@@ -59,25 +59,27 @@ def csv_silver(spark: SparkSession, directory: str, loaded_at: str | None = None
     return tables | {"users": masked_users(tables["users"], tables.get("demographics"))}
 
 
-def malformed_log(spark: SparkSession, directory: str, run_ts: datetime | Column) -> DataFrame:
-    """Broken XML elements as log rows.
+def malformed_log(spark: SparkSession, xml_input: str | None, csv_input: str | None, run_ts: datetime | Column) -> DataFrame:
+    """Broken XML elements and CSV lines as log rows.
 
     The text may hold personal data, so the log shows its hash.
     """
-    rule = quality.Rule(
-        "malformed_xml",
-        "Element is not well-formed XML",
-        "element",
-        "Must be well-formed",
-        F.lit(True),
-        shown=hashed("element"),
+    xml_rule = quality.Rule(
+        "malformed_xml", "Element is not well-formed XML", "element", "Must be well-formed", F.lit(True), shown=hashed("element")
     )
+    csv_rule = quality.Rule(
+        "malformed_csv", "Line has too few or too many fields", "line", "Must have a field for each column", F.lit(True),
+        shown=hashed("element"),
+    )
+    broken = []
+    if xml_input is not None:
+        broken += [(XML_SOURCE, name, xml_rule, readers.read_malformed_xml(spark, xml_input, name)) for name in XML_ENTITIES]
+    if csv_input is not None:
+        broken += [(CSV_SOURCE, name, csv_rule, readers.read_malformed_csv(spark, csv_input, name)) for name in CSV_ENTITIES]
     logs = []
-    for name in XML_ENTITIES:
-        broken = readers.read_malformed_xml(spark, directory, name).withColumns(
-            {"_source_system": F.lit(XML_SOURCE), "__id": F.lit(None).cast("string")}
-        )
-        logs.append(quality.violations(broken, [replace(rule, entity=name)], run_ts, "__id"))
+    for source, name, rule, rows in broken:
+        named = rows.withColumns({"_source_system": F.lit(source), "__id": F.lit(None).cast("string")})
+        logs.append(quality.violations(named, [replace(rule, entity=name)], run_ts, "__id"))
     return quality.union_logs(logs)
 
 
@@ -92,7 +94,7 @@ def bronze_to_silver(
 ) -> dict[str, Frames]:
     """Parse, mask, write.  A source given as None is skipped.
 
-    Broken XML elements are logged below ``parquet_output``/malformed.
+    Broken XML elements and CSV lines are logged below ``parquet_output``/malformed.
 
     Personal data is masked before the first write, so no raw copy of the
     students or users table ever reaches the output folder.
@@ -100,10 +102,11 @@ def bronze_to_silver(
     out: dict[str, Frames] = {}
     if xml_input is not None:
         out[XML_SOURCE] = sinks.write_all(xml_silver(spark, xml_input, loaded_at), f"{parquet_output}/{XML_SOURCE}")
-        logged = malformed_log(spark, xml_input, F.current_timestamp() if run_ts is None else run_ts)
-        sinks.write_parquet(logged, f"{parquet_output}/malformed")
     if csv_input is not None:
         out[CSV_SOURCE] = sinks.write_all(csv_silver(spark, csv_input, loaded_at), f"{parquet_output}/{CSV_SOURCE}")
+    if out:
+        logged = malformed_log(spark, xml_input, csv_input, F.current_timestamp() if run_ts is None else run_ts)
+        sinks.write_parquet(logged, f"{parquet_output}/malformed")
     if register:
         for source in out:
             out[source] = sinks.register_parquet_dir(spark, f"{parquet_output}/{source}", f"silver_{source}")

@@ -161,11 +161,33 @@ def select_entity(rows: DataFrame, entity: CsvEntity) -> DataFrame:
     return renamed.select(*entity.columns)
 
 
+def _csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as strings under the names of the header, and what is wrong with a row in ``MALFORMED``.
+
+    The first file's header names the columns; another file whose header differs, in order too, is an error.
+    """
+    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    return (
+        spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", MALFORMED).schema(string_schema([*header, MALFORMED])).csv(path)
+    )
+
+
 def read_csv(spark: SparkSession, directory: str, name: str, loaded_at: str | None = None) -> DataFrame:
-    """One CSV entity: all strings, columns found by header name, empty fields NULL."""
+    """One CSV entity: all strings, columns found by header name, empty fields NULL.
+
+    Rows with too few or too many fields stay, as far as they go; ``read_malformed_csv`` lists them.
+    """
     entity = CSV_ENTITIES[name]
-    rows = spark.read.option("header", True).option("escape", '"').csv(f"{directory}/{entity.file}")
-    return stamp(select_entity(rows, entity), CSV_SOURCE, loaded_at)
+    return stamp(select_entity(_csv_rows(spark, f"{directory}/{entity.file}"), entity), CSV_SOURCE, loaded_at)
+
+
+def read_malformed_csv(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """Lines of one CSV entity with too few or too many fields, as ``element``."""
+    rows = _csv_rows(spark, f"{directory}/{CSV_ENTITIES[name].file}")
+    # the parser counts the fields of a line only if all are asked for, so the filter names them all
+    any_field = F.length(F.concat_ws("", *(F.col(f"`{c}`") for c in rows.columns if c != MALFORMED))) >= 0
+    return rows.where(F.col(MALFORMED).isNotNull() & any_field).select(F.col(MALFORMED).alias("element"))
 
 
 def read_seed(spark: SparkSession, directory: str, name: str) -> DataFrame:

@@ -169,3 +169,33 @@ def test_commented_elements_are_refused(spark, tmp_path):
     (tmp_path / "LearningStandards.xml").write_text("<A>" + CODE.format(1) + "<!-- " + CODE.format(2) + " --></A>")
     with pytest.raises(Exception, match="a comment holds <LearningStandard> elements"):
         readers.read_xml(spark, str(tmp_path), "standards").collect()
+
+
+def csv_parts(folder, *parts):
+    """One CSV entity as a folder of part files."""
+    path = folder / CSV_ENTITIES["orgs"].file
+    path.mkdir()
+    for k, text in enumerate(parts):
+        (path / f"part-{k}.csv").write_text(text)
+
+
+ORGS = "sourcedId,name,type,identifier,parentSourcedId"
+
+
+def test_csv_part_files_agree_in_their_header(spark, tmp_path):
+    csv_parts(tmp_path, f"{ORGS}\nO1,One,school,1,D\n", f"{ORGS}\nO2,Two,school,2,D\n")
+    assert sorted(r.name for r in readers.read_csv(spark, str(tmp_path), "orgs").collect()) == ["One", "Two"]
+
+
+def test_csv_part_with_another_header_order_is_an_error(spark, tmp_path):
+    csv_parts(tmp_path, f"{ORGS}\nO1,One,school,1,D\n", "name,sourcedId,type,identifier,parentSourcedId\nTwo,O2,school,2,D\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path), "orgs").collect()
+
+
+def test_torn_csv_rows_are_listed(spark, tmp_path):
+    csv_parts(tmp_path, f'{ORGS}\nO1,"One\nmore",school,1,D\nO2,Two,school,2,D\nO3,Three,school,3,D,extra\n')
+    assert "Two" in [r.name for r in readers.read_csv(spark, str(tmp_path), "orgs").collect()]
+    torn = readers.read_malformed_csv(spark, str(tmp_path), "orgs")
+    assert torn.count() == 3
+    assert sorted(r.element[:2] for r in torn.collect()) == ["O1", "O3", "mo"]

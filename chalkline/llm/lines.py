@@ -23,9 +23,8 @@ ROWS = 3
 _GROUP = 1 << 18
 _OTHER = words.odd_constants(31, 256)
 _OTHER[65:91] = _OTHER[97:123]
-_SALTS = words.odd_constants(41, BANDS * ROWS).astype(np.uint32)
 _FACTORS = words.odd_constants(43, BANDS * ROWS).astype(np.uint32) | np.uint32(1)
-_STEPS = words.odd_constants(47, 3)
+_STEPS = words.odd_constants(47, 4).astype(np.uint32) | np.uint32(1)
 _BAND_FACTORS = words.odd_constants(53, ROWS)
 
 
@@ -35,17 +34,21 @@ def _spans(newlines: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _grams(characters: np.ndarray) -> np.ndarray:
-    """64-bit hash of the 8 characters from every place on (the last 7 places hold rubbish)."""
-    g = words.mixed(characters.astype(np.uint64) + np.uint64(1))
-    for step, shift in zip(_STEPS, (1, 2, 4), strict=True):
-        ahead = np.empty_like(g)
-        ahead[:-shift], ahead[-shift:] = g[shift:], 0
-        g = g + ahead * step
-    return words.mixed(g)
+    """32-bit hash of the 8 characters from every place on (the last 7 places hold rubbish)."""
+    g = (characters + np.uint32(1)) * _STEPS[0]
+    for step, shift in zip(_STEPS[1:], (1, 2, 4), strict=True):
+        ahead = np.zeros_like(g)
+        ahead[:-shift] = g[shift:]
+        ahead *= step
+        g += ahead
+        g ^= g >> np.uint32(15)
+    g *= np.uint32(0x2C1B3C6D)
+    g ^= g >> np.uint32(12)
+    return g
 
 
 def read_lines(body: np.ndarray, offsets: np.ndarray):
-    """Per line that is not blank: text, number in the text, two keys; then flat shingle hashes and number by line.
+    """Per line that is not blank: text, number in the text, two keys; then flat 32-bit shingle hashes, number by line.
 
     Two lines have equal keys if they are the same but for A-Z and a-z. A line shorter than a shingle is one shingle.
     """
@@ -69,10 +72,10 @@ def read_lines(body: np.ndarray, offsets: np.ndarray):
     np.add.at(inside, starts[long], 1)
     np.add.at(inside, ends[long] - (WIDTH - 1), -1)
     inside = np.cumsum(inside[:-1]).astype(bool)
-    values = np.empty(int(counts.sum()), dtype=np.uint64)
+    values = np.empty(int(counts.sum()), dtype=np.uint32)
     of_long = np.repeat(long, counts)
     values[of_long] = _grams(characters)[inside]
-    values[~of_long] = keys[0][~long]
+    values[~of_long] = (keys[0][~long] >> np.uint64(32)).astype(np.uint32)
     return text[full], number[full], keys, values, counts
 
 
@@ -82,9 +85,8 @@ def bands(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if not len(counts):
         return out.view(np.int64)
     starts = words.segments(counts)[:-1]
-    short = (values >> np.uint64(32)).astype(np.uint32)
     for k in range(BANDS * ROWS):
-        least = np.minimum.reduceat((short ^ _SALTS[k]) * _FACTORS[k], starts)
+        least = np.minimum.reduceat(values * _FACTORS[k], starts)
         out[:, k // ROWS] += (least.astype(np.uint64) + np.uint64(1)) * _BAND_FACTORS[k % ROWS]
     return words.mixed(out).view(np.int64)
 
@@ -105,16 +107,72 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text, the lines whose first key is asked for, A-Z lower-cased, with both keys."""
     for batch in batches:
-        for _, _, _, keys, values, counts in _groups(batch):
-            flat, sizes = words.distinct(values, counts)
+        body, offsets = words.buffers(batch.column(1))
+        for low, high in words.row_groups(offsets, _GROUP):
+            part, bounds = body[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+            starts, ends = _spans(np.flatnonzero(part == 10), bounds)
+            found = [words._span_hashes(part, starts, ends, t).view(np.int64) for t in (words._FOLDED, _OTHER)]
+            _, first = np.unique(found[0], return_index=True)
+            asked = batch.column(0).slice(low, high - low).flatten().to_numpy()
+            at = first[np.isin(found[0][first], asked)]
+            text = part.tobytes().lower()
+            lines = [text[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(k.view(np.int64)) for k in keys), words.packed(flat.view(np.int64), sizes, pa.int64())],
-                ["key_a", "key_b", "content"],
+                [pa.array(found[0][at]), pa.array(found[1][at]), pa.array(lines, pa.string())], ["key_a", "key_b", "content"]
             )
 
 
+def shingle_set(line: str) -> frozenset[str]:
+    """Distinct shingles of a lower-cased line."""
+    return frozenset([line[k : k + WIDTH] for k in range(max(1, len(line) - WIDTH + 1))])
+
+
+def similar(a: frozenset, b: frozenset, percent: int) -> bool:
+    if min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
+        return False
+    both = len(a & b)
+    return both * 100 >= (len(a) + len(b) - both) * percent
+
+
+class LineContents:
+    """Lower-cased lines of a cell; their sets are made when first needed."""
+
+    def __init__(self, column: pa.Array):
+        self.column = column
+        self.sets: dict[int, frozenset] = {}
+
+    def may_fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
+        return np.ones(len(rest), dtype=bool)
+
+    def of(self, i: int) -> frozenset:
+        if i not in self.sets:
+            self.sets[i] = shingle_set(self.column[i].as_py())
+        return self.sets[i]
+
+    def fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
+        return np.array([j for j in rest.tolist() if similar(self.of(i), self.of(j), percent)], dtype=np.int64)
+
+
+def lines_fit(percent: int):
+    """Two columns of lower-cased lines -> whether their shingle sets are similar."""
+
+    @F.arrow_udf("boolean")
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        made: dict[str, frozenset] = {}  # the least line of a bucket comes once for each of the others
+
+        def of(line: str) -> frozenset:
+            if line not in made:
+                made[line] = shingle_set(line)
+            return made[line]
+
+        return pa.array([similar(of(x), shingle_set(y), percent) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], type=pa.bool_())
+
+    return lambda a, b: run(a, b)
+
+
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """A row's identity is its doc_id and text."""
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
@@ -155,14 +213,17 @@ def fuzzy_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
         ),
         "line-posted",
     )
-    picked = within(rows, posted.select("row").distinct(), ["row"], posted.count()).dropDuplicates(["row"])
+    asked = posted.groupBy("row").agg(F.collect_set("key_a").alias("asked"))
+    picked = within(rows, asked, ["row"], posted.count())
     sets = materialized(
-        picked.select("text").mapInArrow(_contents, "key_a long, key_b long, content array<long>")
+        picked.select("asked", "text").mapInArrow(_wanted_lines, "key_a long, key_b long, content string")
         .join(posted.select("node", "key_a", "key_b"), ["key_a", "key_b"])
-        .groupBy("node").agg(F.first("content").alias("content")),
+        .groupBy("node").agg(F.max("content").alias("content")),
         "line-sets",
     )
-    joined = linked(buckets, posted.select("node", "marks", "posted"), sets, 1, percent)
+    joined = linked(
+        buckets, posted.select("node", "marks", "posted"), sets, 1, percent, lines_fit(percent), LineContents
+    )
     several = (
         nodes.select("node", "key_a", "key_b", "times").join(joined, "node", "left")
         .where("times > 1 or component is not null")

@@ -13,12 +13,11 @@ So every pair that shares a bucket is either confirmed, refuted, or already conn
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chalkline.session import BROADCAST_ROWS, materialized
@@ -114,78 +113,142 @@ def shared_buckets(postings: DataFrame) -> DataFrame:
     ).where("size > 1")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with 100 * intersection >= percent * union, on full sets."""
+def sets_fit(a: Column, b: Column, percent: int) -> Column:
+    """100 * intersection >= percent * union of two arrays without repeats."""
+    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    both = F.size(F.array_intersect(a, b))
+    return F.when(small * 100 < large * percent, False).otherwise(both * 100 >= (small + large - both) * percent)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, fits: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs ``(a, b)`` whose contents fit."""
     left = sets.select(F.col("node").alias("a"), F.col("content").alias("content_a"))
     right = sets.select(F.col("node").alias("b"), F.col("content").alias("content_b"))
-    both = F.size(F.array_intersect("content_a", "content_b"))
-    sizes = F.size("content_a") + F.size("content_b")
-    fits = F.least(F.size("content_a"), F.size("content_b")) * 100 >= F.greatest(F.size("content_a"), F.size("content_b")) * percent
-    return (
-        pairs.join(left, "a").join(right, "b").where(fits)
-        .select("a", "b", both.alias("shared"), sizes.alias("sizes"))
-        .where(F.col("shared") * 100 >= (F.col("sizes") - F.col("shared")) * percent)
-        .select("a", "b")
-    )
+    return pairs.join(left, "a").join(right, "b").where(fits(F.col("content_a"), F.col("content_b"))).select("a", "b")
+
+
+class ArrayContents:
+    """Contents of a cell that are lists of longs without repeats."""
+
+    def __init__(self, column: pa.Array):
+        offsets = column.offsets.to_numpy()
+        self.sizes = np.diff(offsets).astype(np.int64)
+        self.flat = column.values.to_numpy()[offsets[0] : offsets[-1]]
+        self.bits: np.ndarray | None = None
+
+    def may_fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
+        return np.minimum(self.sizes[rest], self.sizes[i]) * 100 >= np.maximum(self.sizes[rest], self.sizes[i]) * percent
 
+    def fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
+        """Those of ``rest`` that are similar to ``i``: common values are common bits."""
+        if self.bits is None:
+            self.bits = self._bits()
+        both = np.bitwise_count(self.bits[rest] & self.bits[i]).sum(axis=1).astype(np.int64)
+        return rest[both * 100 >= (self.sizes[rest] + self.sizes[i] - both) * percent]
 
-def _bits(contents: list[np.ndarray]) -> np.ndarray:
-    """Rows of bits over the values that two rows at least hold: common bits are common values."""
-    counts = np.array([len(x) for x in contents])
-    values, place, times = np.unique(np.concatenate(contents), return_inverse=True, return_counts=True)
-    rank = np.cumsum(times > 1) - 1
-    several = times[place] > 1
-    row, bit = np.repeat(np.arange(len(contents)), counts)[several], rank[place[several]]
-    out = np.zeros((len(contents), int(rank[-1]) // 64 + 1 if len(rank) else 1), dtype=np.uint64)
-    np.bitwise_or.at(out, (row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
-    return out
+    def _bits(self) -> np.ndarray:
+        """Rows of bits over the values that two rows at least hold."""
+        _, place, times = np.unique(self.flat, return_inverse=True, return_counts=True)
+        rank = np.cumsum(times > 1) - 1
+        several = times[place] > 1
+        row, bit = np.repeat(np.arange(len(self.sizes)), self.sizes)[several], rank[place[several]]
+        out = np.zeros((len(self.sizes), int(rank[-1]) // 64 + 1 if len(rank) else 1), dtype=np.uint64)
+        np.bitwise_or.at(out, (row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        return out
 
 
-def _compare(cell: pd.DataFrame, min_hits: int, percent: int) -> pd.DataFrame:
+def _compare(cell: pa.RecordBatch, contents, min_hits: int, percent: int) -> tuple[list[int], list[int]]:
     """A forest of the links in one pair of blocks that join different components."""
-    low, high, here = (int(cell[c].iloc[0]) for c in ("low", "high", "mark"))
-    block, node = cell["block"].to_numpy(), cell["node"].to_numpy()
-    component = cell["component"].to_numpy().copy()
+    low, high, here = (cell.column(c)[0].as_py() for c in ("low", "high", "mark"))
+    block, node, posted = (cell.column(c).to_numpy() for c in ("block", "node", "posted"))
+    component = cell.column("component").to_numpy().copy()
     own, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    central = node == cell["center"].iloc[0]
-    marks, posted = np.stack(cell["marks"].to_numpy()), cell["posted"].to_numpy()
-    contents = [np.asarray(x, dtype=np.int64) for x in cell["content"]]
-    sizes = np.array([len(x) for x in contents], dtype=np.int64)
-    bits = None
+    central = node == cell.column("center")[0].as_py()
+    marks = cell.column("marks").flatten().to_numpy().reshape(len(node), -1)
+    places = np.arange(marks.shape[1])
+    held = contents(cell.column("content"))
     out_a, out_b = [], []
     for i in own[~central[own]].tolist():
         rest = other[other > i] if low == high else other
-        fit = (component[rest] != component[i]) & ~central[rest]
-        fit &= np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * percent
-        rest = rest[fit]
+        rest = rest[(component[rest] != component[i]) & ~central[rest]]
+        rest = rest[held.may_fit(i, rest, percent)]
+        if not len(rest):
+            continue
         equal = marks[rest] == marks[i]
         rest, equal = rest[enough := equal.sum(axis=1) >= min_hits], equal[enough]
         # a pair is looked at in the first bucket that both are posted to
-        shared = equal & ((posted[rest, None] & posted[i]) >> np.arange(marks.shape[1]) & 1).astype(bool)
-        rest = rest[shared.argmax(axis=1) == here]
-        if not len(rest):
-            continue
-        bits = _bits(contents) if bits is None else bits
-        both = np.bitwise_count(bits[rest] & bits[i]).sum(axis=1).astype(np.int64)
-        for j in rest[both * 100 >= (sizes[rest] + sizes[i] - both) * percent].tolist():
+        shared = equal & ((posted[rest, None] & posted[i]) >> places & 1).astype(bool)
+        for j in held.fit(i, rest[shared.argmax(axis=1) == here], percent).tolist():
             x, y = component[i], component[j]
             if x != y:
                 component[component == max(x, y)] = min(x, y)
-                out_a.append(node[i])
-                out_b.append(node[j])
-    return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+                out_a.append(int(node[i]))
+                out_b.append(int(node[j]))
+    return out_a, out_b
+
+
+CELL_KEYS = ["mark", "value", "low", "high"]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of a partition that is sorted by cell; one cell at a time is held back."""
+    held: list[pa.RecordBatch] = []
+
+    def key(batch: pa.RecordBatch, row: int) -> list[int]:
+        return [batch.column(c)[row].as_py() for c in CELL_KEYS]
+
+    def whole() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        changed = np.zeros(batch.num_rows - 1, dtype=bool)
+        for c in CELL_KEYS:
+            changed |= np.diff(batch.column(c).to_numpy()) != 0
+        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        if held and key(held[0], 0) != key(batch, 0):
+            yield whole()
+            held.clear()
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            held.append(batch.slice(first, last - first))
+            if last < batch.num_rows:
+                yield whole()
+                held.clear()
+    if held:
+        yield whole()
+
+
+def _rest(contents, min_hits: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for cell in _cells(batches):
+            more_a, more_b = _compare(cell, contents, min_hits, percent)
+            a += more_a
+            b += more_b
+            if len(a) >= LOCAL_LINKS:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
-def linked(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, min_hits: int, percent: int) -> DataFrame:
+def linked(
+    buckets: DataFrame, nodes: DataFrame, sets: DataFrame, min_hits: int, percent: int,
+    fits: Callable[[Column, Column], Column] | None = None, contents: type = ArrayContents,
+) -> DataFrame:
     """``node``, ``component`` of all nodes with a link.
 
     ``buckets``: a written table from ``shared_buckets``, with ``hits``, the marks that node and center have in common.
     ``nodes``: node, marks (array of values, one for each mark), posted (a bit for each mark it is posted to).
     ``sets``: node, content (array of longs without repeats) of all nodes in ``buckets``. A link needs ``min_hits``
-    common marks and 100 * intersection >= ``percent`` * union.
+    common marks and 100 * intersection >= ``percent`` * union. Contents of another kind come with ``fits``, which
+    tells that of two columns, and a class like ``ArrayContents``, which holds them in a task.
     """
+    fits = fits or (lambda a, b: sets_fit(a, b, percent))
     stars = buckets.where(f"node != center and hits >= {min_hits}").select(F.col("center").alias("a"), F.col("node").alias("b"))
-    first = materialized(_confirmed(stars.distinct(), sets, percent), "star-links")
+    first = materialized(_confirmed(stars.distinct(), sets, fits), "star-links")
     labels = materialized(components(first), "labels")
     bucket = Window.partitionBy("mark", "value")
     open_buckets = (
@@ -200,11 +263,9 @@ def linked(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, min_hits: int,
     )
     # a number of its own, as a cell's work follows the square of its rows and adaptive execution counts bytes
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = open_buckets.join(nodes, "node").join(sets, "node").repartition(parts, "mark", "value", "low", "high")
+    cells = open_buckets.join(nodes, "node").join(sets, "node").repartition(parts, *CELL_KEYS).sortWithinPartitions(*CELL_KEYS)
     second = materialized(
-        cells.groupBy("mark", "value", "low", "high").applyInPandas(
-            lambda cell: _compare(cell, min_hits, percent), "a long, b long"
-        ),
+        cells.mapInArrow(_rest(contents, min_hits, percent), "a long, b long"),
         "rest-links",
     )
     if second.isEmpty():

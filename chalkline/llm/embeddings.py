@@ -66,33 +66,36 @@ def _members(centers: dict[int, np.ndarray], radii: dict[tuple[int, int], float]
 
 
 def _solve(part: pa.Table, least: float) -> pa.Table:
-    """Links of one pair of blocks: number of linked vectors by node (b null), and a forest of links (a, b)."""
+    """Links between a block of a cell's own vectors and a block of its members: number of linked vectors by node
+    (b null), and a forest of links (a, b)."""
     part = part.combine_chunks()
-    block, low, high = (part[c].to_numpy() for c in ("block", "low", "high"))
-    node, copies, own = (part[c].to_numpy(zero_copy_only=False) for c in ("node", "copies", "own"))
+    node, copies, own, asks = (part[c].to_numpy(zero_copy_only=False) for c in ("node", "copies", "own", "asks"))
     points = np.concatenate([m for _, m in vectors.matrices(part["vector"].chunk(0))])
-    left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
-    same = low[0] == high[0]
+    left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
     linked = np.zeros(len(node), dtype=np.int64)
-    label = np.arange(len(node))
+    label = dict(zip(node.tolist(), node.tolist(), strict=True))
+
+    def top(x: int) -> int:
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+
     out_a, out_b = [], []
     for begin in range(0, len(left), 512):
         mine = left[begin : begin + 512]
         hit = points[mine] @ points[right].T >= least
-        hit &= own[mine][:, None] | own[right]
-        if same:
-            hit &= right > mine[:, None]
+        hit &= ~own[right] | (node[right] > node[mine][:, None])  # two of the cell's own meet both ways round
         linked[mine] += hit @ copies[right]
         linked[right] += copies[mine] @ hit
         for k in np.flatnonzero(hit.any(axis=1)).tolist():
-            i = mine[k]
-            others = right[hit[k]]
-            for other in np.unique(label[others]).tolist():
-                if other != label[i]:
-                    j = others[label[others] == other][0]
-                    out_a.append(node[i])
-                    out_b.append(node[j])
-                    label[label == other] = label[i]
+            i = int(node[mine[k]])
+            for j in node[right[hit[k]]].tolist():
+                x, y = top(i), top(j)
+                if x != y:
+                    label[max(x, y)] = min(x, y)
+                    out_a.append(i)
+                    out_b.append(j)
     some = np.flatnonzero(linked)
     return pa.table({
         "a": pa.array(np.r_[node[some], np.array(out_a, np.int64)], pa.int64()),
@@ -132,15 +135,23 @@ def near_vectors(
     # a row for each pivot at most, and for each length of vector that has none
     radii = {(r["size"], r["cell"]): r["far"] for r in homes.agg(F.max(F.get("vector", F.lit(0))).alias("far")).collect()}
     members = materialized(plain.mapInArrow(_members(centers, radii, reach), _MEMBER), "vector-members")
-    spread = members.groupBy("size", "cell").agg(F.ceil(F.count("*") / vectors.BLOCK).cast("int").alias("blocks"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = (
-        members.join(spread, ["size", "cell"])
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("size", "cell", F.least("block", "x").alias("low"), F.greatest("block", "x").alias("high"), "block", "node", "copies", "own", "vector")
-        .repartition(parts, "size", "cell", "low", "high")
+    blocks = (
+        members.groupBy("size", "cell")
+        .agg(
+            F.ceil(F.count_if("own") / vectors.BLOCK).cast("int").alias("own_blocks"),
+            F.ceil(F.count("*") / vectors.BLOCK).cast("int").alias("all_blocks"),
+        )
+        .where("own_blocks > 0")
     )
+    placed = members.join(blocks, ["size", "cell"])
+    block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["size", "cell", "low", "high", "asks", "node", "copies", "own", "vector"]
+    # blocks of a cell's own vectors meet blocks of all its members
+    asking = placed.where("own").withColumns({"low": block("own_blocks"), "asks": F.lit(True)}).withColumn("high", each("all_blocks"))
+    members_of = placed.withColumns({"high": block("all_blocks"), "asks": F.lit(False)}).withColumn("low", each("own_blocks"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = asking.select(*columns).unionByName(members_of.select(*columns)).repartition(parts, "size", "cell", "low", "high")
     found = materialized(
         cells.groupBy("size", "cell", "low", "high").applyInArrow(lambda part: _solve(part, least), "a long, b long, links long"),
         "vector-links",

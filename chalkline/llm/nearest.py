@@ -197,7 +197,7 @@ def top_by_inner_product(
     }
     asked = queries.count()
     tops = {size: top for size, (top, _) in sizes.items()}
-    slices = {size: int(n // (2 * vectors.BLOCK) + 1) for size, (_, n) in sizes.items()}
+    slices = {size: int(n // vectors.BLOCK + 1) for size, (_, n) in sizes.items()}
     total = sum(n for _, n in sizes.values())
 
     def sampled(df: DataFrame, count: int, lift: bool) -> dict[int, np.ndarray]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Vectors in one block of a cell: bounds what a task holds.
-BLOCK = 2048
+BLOCK = 4096
 # Pivots at most; they are gathered and sent to all tasks, so this times the dimension bounds the driver's share.
 MOST_PIVOTS = 1024
 # Vectors to a pivot, as long as there are few enough pivots.

@@ -27,7 +27,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op3_minhash")
+def _reach(links: str) -> str:
+    """CTEs that name the least node reachable over ``links`` (a, b), both ways round, as ``least`` (a, component)."""
+    return f"""
+    reach(a, b) as (select a, b from ({links}) l union select r.a, l.b from reach r join ({links}) l on r.b = l.a),
+    least as (select a, least(a, min(b)) as component from reach group by a)"""
+
+
+@query(
+    "op3_minhash",
+    f"""
+    with recursive w as (
+        select doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'
+        ), lambda x: x <> '') as words from documents
+    ),
+    s as materialized (
+        select distinct doc_id, unnest(list_transform(
+            range(1, greatest(len(words) - 4, case when len(words) > 0 then 1 else 0 end) + 1),
+            lambda i: array_to_string(words[i : i + 4], ' ')
+        )) as shingle from w
+    ),
+    n as materialized (select doc_id, count(*) as size from s group by doc_id),
+    common as materialized (
+        select x.doc_id as a, y.doc_id as b, count(*) as shared from s x join s y using (shingle)
+        where x.doc_id <> y.doc_id group by all
+    ),
+    links as materialized (
+        select a, b from common join n p on p.doc_id = a join n q on q.doc_id = b
+        where 100 * shared >= 85 * (p.size + q.size - shared)
+    ),
+    {_reach("select a, b from links")}
+    select doc_id, coalesce(size, 0) as n_shingles, coalesce(component, doc_id) as component_id,
+        coalesce(component, doc_id) = doc_id as kept
+    from documents left join n using (doc_id) left join least on a = doc_id
+    """,
+)
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
@@ -127,7 +162,61 @@ RULES = [
 ]
 
 
-@query("op9_hosts")
+def _level(name: str, groups: str, prior: str) -> str:
+    """CTEs of one level of the shrinkage: ``groups`` has key, good, total and ``prior``."""
+    return f"""
+    {name}_in as ({groups}),
+    {name}_fit as (
+        select sum(total) as n, count(*) filter (where total > 0) as k, sum(total * {prior} * (1 - {prior})) as v,
+            sum(total * power(good / nullif(total, 0) - {prior}, 2)) as between_groups
+        from {name}_in
+    ),
+    {name}_rho as (select *, ((between_groups * n / nullif(v, 0)) - k) / nullif(n - k, 0) as rho from {name}_fit),
+    {name} as (
+        select i.*, good + s * {prior} as alpha, total - good + s * (1 - {prior}) as beta
+        from {name}_in i, (
+            select case when v > 0 and n > k
+                then round(least(1000.0, greatest(1.0, case when rho > 0 then 1 / rho - 1 else 1000.0 end)), 6) else 1000.0 end as s
+            from {name}_rho
+        ) f
+    )"""
+
+
+_BARE = "regexp_replace(host, ':[0-9]*$', '')"
+_RULE_CASES = " ".join(
+    f"""when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}|{v}'"""
+    for h, p, v in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+)
+
+
+@query(
+    "op9_hosts",
+    f"""
+    with parts as (
+        select page_id,
+            translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+        from pages
+    ),
+    known as (select doc_id, min(quality) as good from labels where quality in (0, 1) group by doc_id),
+    hosts as (
+        select host, coalesce(sum(good), 0)::double as good, count(good)::double as total,
+            array_to_string(string_split({_BARE}, '.')[-2:], '.') as domain, string_split({_BARE}, '.')[-1] as suffix
+        from parts left join known on doc_id = page_id group by host
+    ),
+    {_level("s", "select suffix, sum(good) as good, sum(total) as total, (select sum(good) / sum(total) from hosts) as p from hosts group by suffix", "p")},
+    {_level("d", "select h.domain, h.suffix, sum(h.good) as good, sum(h.total) as total, any_value(s.alpha / (s.alpha + s.beta)) as p from hosts h join s using (suffix) group by h.domain, h.suffix", "p")},
+    {_level("h", "select host, hosts.good, hosts.total, d.alpha / (d.alpha + d.beta) as p from hosts join d using (domain, suffix)", "p")},
+    judged as (
+        select host, alpha / (alpha + beta) + 1.645 * sqrt(alpha * beta / (power(alpha + beta, 2) * (alpha + beta + 1))) < 0.5 as bad
+        from h
+    ),
+    ruled as (select *, case {_RULE_CASES} end as found from parts)
+    select page_id, host, path, string_split(found, '|')[1] as rule,
+        coalesce(string_split(found, '|')[2], case when bad then 'block' else 'allow' end) as verdict
+    from ruled left join judged using (host)
+    """,
+)
 def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
 
@@ -226,7 +315,25 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "epoch", "n_words")
 
 
-@query("op1_embeddings")
+@query(
+    "op1_embeddings",
+    f"""
+    with recursive v as (
+        select vec_id, embedding::double[] as e from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links as materialized (
+        select x.vec_id as a, y.vec_id as b from v x join v y
+        on x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.95
+    ),
+    {_reach("select a, b from links")}
+    select vec_id, coalesce(n, 0) as n_links, coalesce(component, vec_id) as component_id,
+        coalesce(component, vec_id) = vec_id as kept
+    from embeddings left join (select a, count(*) as n from links group by a) using_a on using_a.a = vec_id
+        left join least on least.a = vec_id
+    """,
+)
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 

@@ -9,7 +9,6 @@ per-slice totals.  Both ways give the same rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -101,12 +100,12 @@ def ordered_scan(
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _with_size(_along(df, keys, order, scan), keys, scan)
-    sizes, groups, rows = hot
+    sizes, groups, _ = hot
     sizes = broadcast_upto(sizes, groups)
     same_group = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
     usual = df.join(sizes, same_group, "left_anti")
     large = df.join(sizes, same_group, "inner").drop(*[f"__hot_{k}" for k in keys])
-    done = _sliced(large, keys, order, scan, groups, rows, hot_rows)
+    done = _sliced(large, keys, order, scan, groups)
     done = done.withColumnRenamed("__hot_rows", scan.group_size) if scan.group_size else done.drop("__hot_rows")
     return _with_size(_along(usual, keys, order, scan), keys, scan).unionByName(done)
 
@@ -117,10 +116,9 @@ def _with_size(df: DataFrame, keys: Sequence[str], scan: Scan) -> DataFrame:
     return df.withColumn(scan.group_size, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
 
 
-def _sliced(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], scan: Scan, groups: int, rows: int, hot_rows: int
-) -> DataFrame:
-    slices = max(2, math.ceil(2 * rows / hot_rows))
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], scan: Scan, groups: int) -> DataFrame:
+    # as many slices as the session deals shuffles into, twice over: the cluster's size, not the data's, sets the tasks
+    slices = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Row ids and slice ids are taken from written data, so a lost executor cannot change them.
     numbered = materialized(df, "large").withColumn("__row", F.monotonically_increasing_id())
     order = [*order, "__row"]

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from chalkline import streaming
 from chalkline.operators import pii, quality
 
 
@@ -23,11 +22,3 @@ def test_masking_and_rules_on_a_stream(spark, tmp_path, rows):
         assert rows(spark.table("held"), "record_id", "rule_name", "field_value") == [("UNKNOWN", "id_present", "NULL")]
     finally:
         handle.stop()
-
-
-def test_named_operators_exist():
-    from chalkline.operators import unify
-    from chalkline.sources import readers
-
-    for name in streaming.ROW_LOCAL:
-        assert any(hasattr(m, name) for m in (pii, quality, unify, readers)), name

@@ -130,6 +130,22 @@ def shingle_set(line: str) -> frozenset[str]:
     return frozenset([line[k : k + WIDTH] for k in range(max(1, len(line) - WIDTH + 1))])
 
 
+def apart(a: str, b: str, percent: int) -> bool:
+    """Whether a third of b's shingles shows already that the lines are not similar.
+
+    Similar lines share ``percent`` of b's distinct shingles at least, so at most the rest can be missing in a.
+    """
+    places = len(b) - WIDTH + 1
+    missing: set[str] = set()
+    for k in range(0, places, 3):
+        shingle = b[k : k + WIDTH]
+        if shingle not in a:
+            missing.add(shingle)
+            if len(missing) * 100 > places * (100 - percent):
+                return True
+    return False
+
+
 def similar(a: frozenset, b: frozenset, percent: int) -> bool:
     if min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
         return False
@@ -142,6 +158,7 @@ class LineContents:
 
     def __init__(self, column: pa.Array):
         self.column = column
+        self.lines: list[str] | None = None
         self.sets: dict[int, frozenset] = {}
 
     def may_fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
@@ -149,11 +166,15 @@ class LineContents:
 
     def of(self, i: int) -> frozenset:
         if i not in self.sets:
-            self.sets[i] = shingle_set(self.column[i].as_py())
+            self.sets[i] = shingle_set(self.lines[i])
         return self.sets[i]
 
     def fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
-        return np.array([j for j in rest.tolist() if similar(self.of(i), self.of(j), percent)], dtype=np.int64)
+        if self.lines is None:
+            self.lines = self.column.to_pylist()
+        line = self.lines[i]
+        near = (j for j in rest.tolist() if not apart(line, self.lines[j], percent))
+        return np.array([j for j in near if similar(self.of(i), self.of(j), percent)], dtype=np.int64)
 
 
 def lines_fit(percent: int):
@@ -161,14 +182,8 @@ def lines_fit(percent: int):
 
     @F.arrow_udf("boolean")
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
-        made: dict[str, frozenset] = {}  # the least line of a bucket comes once for each of the others
-
-        def of(line: str) -> frozenset:
-            if line not in made:
-                made[line] = shingle_set(line)
-            return made[line]
-
-        return pa.array([similar(of(x), shingle_set(y), percent) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], type=pa.bool_())
+        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
+        return pa.array([not apart(x, y, percent) and similar(shingle_set(x), shingle_set(y), percent) for x, y in pairs], type=pa.bool_())
 
     return lambda a, b: run(a, b)
 

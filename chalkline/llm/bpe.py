@@ -7,8 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # How the vocabulary's pre-tokenizer cuts a text, with its white space written out.
@@ -182,45 +184,16 @@ def load(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary(path))
 
 
-def encoded(vocabulary, text: str) -> Column:
-    """Token ids of a text column, packed as little-endian unsigned 32-bit integers (binary). Null is an empty text."""
-
-    @F.arrow_udf("binary")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
-        for batch in batches:
-            out = []
-            for first, last in _groups([n or 0 for n in pa.compute.utf8_length(batch).to_pylist()]):
-                flat, counts = encoder.encode([x or "" for x in batch.slice(first, last - first).to_pylist()])
-                body, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-                out += [body[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            yield pa.array(out, type=pa.binary())
-
-    return run(F.col(text))
-
-
-def decoded(vocabulary, ids: Column | str) -> Column:
-    """Text of packed ids; bytes that are no UTF-8 become U+FFFD."""
-
-    @F.arrow_udf("string")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
-        for batch in batches:
-            out = []
-            for first, last in _groups([n or 0 for n in pa.compute.binary_length(batch).to_pylist()]):
-                packed = [x or b"" for x in batch.slice(first, last - first).to_pylist()]
-                flat = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
-                out += encoder.decode(flat, np.array([len(x) // 4 for x in packed], dtype=np.int64))
-            yield pa.array(out, type=pa.string())
-
-    return run(ids if isinstance(ids, Column) else F.col(ids))
+def _packed(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    body, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+    return pa.array([body[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], type=pa.binary())
 
 
 def encode_documents(
-    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), decode: bool = False
 ) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` (packed) and ``decoded`` of every document, and the columns to ``keep``, in one
-    pass without a shuffle.
+    """``doc_id``, ``n_tokens``, ``ids`` (packed little-endian unsigned 32-bit integers), with ``decode`` also
+    ``decoded``, the text of those ids, and the columns to ``keep``, in one pass without a shuffle.
 
     ``path``: a byte-level BPE vocabulary file, read by the driver. Added tokens that occur in a text become their own
     id. Null or empty text: no tokens, decoded empty. Repeated rows and null doc_ids are carried along; other columns
@@ -228,6 +201,40 @@ def encode_documents(
     rows.
     """
     vocabulary = load(docs.sparkSession, path)
-    ids = docs.select(F.col(doc_id).alias("doc_id"), encoded(vocabulary, text).alias("ids"), *keep)
-    count = (F.octet_length("ids") / 4).cast("long")
-    return ids.select("doc_id", count.alias("n_tokens"), "ids", decoded(vocabulary, "ids").alias("decoded"), *keep)
+    chosen = docs.select(F.col(text).alias("__text"), F.col(doc_id).alias("doc_id"), *keep)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[1:]]
+    out = [kinds[0], "n_tokens long", "ids binary", *(["decoded string"] if decode else []), *kinds[1:]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary.value)
+        for batch in batches:
+            for first, last in _groups([n or 0 for n in pc.utf8_length(batch.column(0)).to_pylist()]):
+                rows = batch.slice(first, last - first)
+                flat, counts = encoder.encode([x or "" for x in rows.column(0).to_pylist()])
+                made = [rows.column(1), pa.array(counts, pa.int64()), _packed(flat, counts)]
+                if decode:
+                    made.append(pa.array(encoder.decode(flat, counts), type=pa.string()))
+                names = ["doc_id", "n_tokens", "ids", *(["decoded"] if decode else []), *rows.schema.names[2:]]
+                yield pa.RecordBatch.from_arrays(made + rows.columns[2:], names)
+
+    return chosen.mapInArrow(run, ", ".join(out))
+
+
+def decode_documents(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """``rows`` with ``decoded`` added (or replaced): the text of packed ids. Bytes that are no UTF-8 become U+FFFD, null
+    ids an empty text."""
+    vocabulary = load(rows.sparkSession, path)
+    chosen = rows.drop("decoded").select(F.col(ids).alias("__ids"), *(c for c in rows.columns if c != "decoded"))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[1:]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary.value)
+        for batch in batches:
+            for first, last in _groups([n or 0 for n in pc.binary_length(batch.column(0)).to_pylist()]):
+                part = batch.slice(first, last - first)
+                packed = [x or b"" for x in part.column(0).to_pylist()]
+                flat = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
+                texts = encoder.decode(flat, np.array([len(x) // 4 for x in packed], dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, type=pa.string())], [*part.schema.names[1:], "decoded"])
+
+    return chosen.mapInArrow(run, ", ".join([*kinds, "decoded string"]))

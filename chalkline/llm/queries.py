@@ -82,7 +82,7 @@ def vocabulary_path() -> str:
 
 @query("op8_bpe")
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path()).select(
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), decode=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

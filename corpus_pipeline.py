@@ -35,7 +35,7 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of every document, and whether they decode to its text."""
-    encoded = bpe.encode_documents(docs, queries.vocabulary_path(), keep=("text",))
+    encoded = bpe.encode_documents(docs, queries.vocabulary_path(), keep=("text",), decode=True)
     return encoded.select("doc_id", "n_tokens", "ids", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("decodes"))
 
 

@@ -600,12 +600,13 @@ def wide_student(m: Model) -> DataFrame:
 @query(
     "students_in_both_sources",
     with_models(
-        """SELECT birth_year, count(DISTINCT _source_system) AS sources, count(*) AS rows FROM int_students
-           WHERE birth_year IS NOT NULL GROUP BY birth_year HAVING count(DISTINCT _source_system) > 1"""
+        """SELECT email_hash, count(DISTINCT _source_system) AS sources, count(*) AS rows FROM int_students
+           WHERE email_hash IS NOT NULL GROUP BY email_hash HAVING count(DISTINCT _source_system) > 1"""
     ),
 )
 def students_in_both_sources(m: Model) -> DataFrame:
-    return shared_values(m.table["int_students"], "birth_year", "_source_system")
+    """The same person in both sources, by the hash of the address."""
+    return shared_values(m.table["int_students"], "email_hash", "_source_system")
 
 
 # --- responses --------------------------------------------------------------------------------

@@ -62,11 +62,15 @@ def materialized(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there.
 
     Cuts the plan like a checkpoint, but in columns: later steps read only what
-    they need, and a lost executor costs a file read.
+    they need, and a lost executor costs a file read.  The table is removed when
+    the driver ends.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_upto(df: DataFrame, rows: int) -> DataFrame:

@@ -10,8 +10,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 LEAST_VALUE = 8
-# Parts that mean nothing alone: a bare key of 40 characters, and the address of a service.
-BARE_SECRET = r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])"
+# Parts that mean nothing alone: a bare key of 40 characters, and the address of a service. A key may stand after the =
+# of a name and before padding or a full stop.
+BARE_SECRET = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])"
 ENDPOINT = r"""https?://[A-Za-z0-9.-]++(?::[0-9]++)?+(?:/[^\x20\x09-\x0D"'<>]*+)?+"""
 KINDS = ("assign", "access", "hex", "linked_secret", "linked_endpoint")
 # Characters between parts of one credential.

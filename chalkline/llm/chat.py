@@ -109,22 +109,39 @@ MAPPINGS = (
 ROW_PATHS = ["conv_id", "role", "text", "turn"]
 
 
+# What the text of a record's shape is made of: a field's name, an opened or closed level, or the type of a leaf.
+_SHAPE = r"(?:`(?:[^`]|``)*+`|[A-Za-z0-9_]++): |OBJECT<|ARRAY<|>|[A-Z][A-Z_ ]*(?:\([0-9, ]*\))?"
+
+
 def record_paths(record: Column) -> Column:
-    """Sorted field paths of each record, a variant: top fields, and the fields below lists of objects or objects."""
-    shape = F.schema_of_variant(record)
-    # OBJECT<a: T, b: ARRAY<OBJECT<c: T>>> becomes a, b[].c: a path part is put before what stands between its brackets
-    names = r"([A-Za-z_][A-Za-z0-9_]*): "
-    flat = F.regexp_replace(shape, names + r"ARRAY<OBJECT<([^<>]*)>>", "$1[]{$2}")
-    flat = F.regexp_replace(flat, names + r"OBJECT<([^<>]*)>", "$1.{$2}")
-    top = F.regexp_extract_all(flat, F.lit(r"([A-Za-z_][A-Za-z0-9_]*(?:\[\]|\.)\{[^{}]*\}|[A-Za-z_][A-Za-z0-9_]*(?=: ))"), F.lit(1))
-    nested = F.transform(top, lambda p: F.when(
-        p.contains("{"),
-        F.transform(
-            F.regexp_extract_all(F.regexp_extract(p, r"\{(.*)\}", 1), F.lit(r"([A-Za-z_][A-Za-z0-9_]*): "), F.lit(1)),
-            lambda name: F.concat(F.regexp_replace(F.regexp_extract(p, r"^([^{]*)\{", 1), r"\.$", ""), F.lit("."), name),
-        ),
-    ).otherwise(F.array(p)))
-    return F.array_sort(F.flatten(nested))
+    """Sorted field paths of each record, a variant, as ``paths`` gives them for a type, at any depth.
+
+    Names that are no plain identifiers stand in backticks.
+    """
+    parts = F.regexp_extract_all(F.schema_of_variant(record), F.lit(_SHAPE), F.lit(0))
+    none = F.array().cast("array<string>")
+
+    def read(so_far: Column, part: Column) -> Column:
+        at, levels = so_far["at"], so_far["levels"]
+        above = F.coalesce(F.try_element_at(levels, F.lit(-1)), F.lit(""))
+        name = F.substring(part, F.lit(1), F.length(part) - 2)
+        is_name, opens = part.endswith(": "), part.isin("OBJECT<", "ARRAY<")
+        here = (
+            F.when(is_name, F.when(above == "", name).otherwise(F.concat(above, F.lit("."), name)))
+            .when(part == "ARRAY<", F.concat(at, F.lit("[]")))
+            .otherwise(at)
+        )
+        return F.struct(
+            here.alias("at"),
+            F.when(opens, F.concat(levels, F.array(here)))
+            .when(part == ">", F.slice(levels, F.lit(1), F.size(levels) - 1))
+            .otherwise(levels)
+            .alias("levels"),
+            F.when(is_name | opens | (part == ">"), so_far["found"]).otherwise(F.concat(so_far["found"], F.array(at))).alias("found"),
+        )
+
+    start = F.struct(F.lit("").alias("at"), none.alias("levels"), none.alias("found"))
+    return F.array_sort(F.aggregate(parts, start, read, lambda x: x["found"]))
 
 
 def canonical_records(df: DataFrame, record: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:

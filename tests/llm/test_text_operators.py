@@ -204,6 +204,36 @@ def test_chat_layouts(spark):
         chat.canonical(typed.select("question"))
 
 
+def test_chat_paths_of_deep_records(spark):
+    turns = [{"role": "user", "content": "u"}]
+    records = [
+        ({"data": {"messages": turns}}, ["data.messages[].content", "data.messages[].role"], "wrapped"),
+        ({"a": {"b": {"messages": turns}}}, ["a.b.messages[].content", "a.b.messages[].role"], None),
+        ({"a": {"b": {"prompt": "p", "completion": "c"}}}, ["a.b.completion", "a.b.prompt"], "deep"),
+        ({"data": {"prompt": "p"}, "completion": "c"}, ["completion", "data.prompt"], None),
+        ({"x": [{"messages": turns}]}, ["x[].messages[].content", "x[].messages[].role"], None),
+        ({"messages": [{"role": "user", "content": [{"text": "t"}]}]}, ["messages[].content[].text", "messages[].role"], None),
+        ([{"prompt": "p", "completion": "c"}], ["[].completion", "[].prompt"], None),
+        ({"prompt": "p", "completion": "c", "a >b": {"`<: ": 1.5}}, ["`a >b`.```<: `", "completion", "prompt"], None),
+        ({"a": [[{"b": [1, 2], "c": {"d": None}}]], "e": 2, "f": {}}, ["a[][].b[]", "a[][].c.d", "e"], None),
+        ({"messages": turns}, ["messages[].content", "messages[].role"], "messages"),
+    ]
+    mappings = (
+        *chat.MAPPINGS,
+        chat.Mapping("wrapped", turns=("data.messages", "role", "content")),
+        chat.Mapping("deep", (("user", "a.b.prompt"), ("assistant", "a.b.completion"))),
+    )
+    df = spark.createDataFrame([(k, json.dumps(r)) for k, (r, _, _) in enumerate(records)], "id long, record string")
+    got = chat.canonical_records(df, "record", mappings).withColumn("paths", chat.record_paths(F.parse_json("record"))).collect()
+    said = {"wrapped": [("user", "u")], "messages": [("user", "u")], "deep": [("user", "p"), ("assistant", "c")], None: []}
+    for r in got:
+        _, want, layout = records[r.id]
+        assert (r.paths, r.layout) == (sorted(want), layout)
+        assert [tuple(t) for t in r.turns] == said[layout]
+    known = {r.id: r.layout for r in chat.canonical_records(df, "record").collect()}
+    assert [k for k, layout in known.items() if layout] == [len(records) - 1]
+
+
 def test_chat_query_holds_the_example(spark):
     row = queries.QUERIES["op6_chat"](spark, "/root/testdata/sf0.001").where("conv_id = -7").first()
     said = "</s>[INST] ok [/INST]"

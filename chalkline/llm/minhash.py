@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,23 @@ from chalkline.session import BROADCAST_ROWS, materialized
 WIDTH = 5
 PERCENT = 85
 SIZE = 32
-# A pair at the threshold agrees in fewer than 17 of 32 coordinates with a probability of 2e-6, as P(Bin(32, .85) < 17).
-MATCHES = 17
+# A pair at the threshold is missed with at most this probability.
+MISSED = 1e-5
+
+
+def matches_for(percent: int, size: int = SIZE) -> int:
+    """The most coordinates, of ``size``, in which a pair at ``percent`` agrees but for a probability of ``MISSED``.
+
+    17 of 32 at 85, as P(Bin(32, .85) < 17) is 3.5e-6; 15 at 80, as P(Bin(32, .8) < 15) is 6.6e-6.
+    """
+    p, missed = percent / 100, 0.0
+    for k in range(size + 1):
+        missed += comb(size, k) * p**k * (1 - p) ** (size - k)
+        if missed > MISSED:
+            break
+    if k == 0:
+        raise ValueError(f"{size} coordinates don't find pairs at {percent} percent")
+    return k
 
 
 def _sets(batch: pa.RecordBatch, width: int):
@@ -62,7 +78,7 @@ def _contents(width: int):
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
-    size: int = SIZE, matches: int = MATCHES,
+    size: int = SIZE, matches: int | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``row`` (hash of id and text).
 
@@ -74,12 +90,13 @@ def near_duplicates(
     posting list. Two nodes can agree in ``matches`` coordinates only if they meet in one of the size - matches + 1
     rarest lists of either, so only those are posted (prefix), and of those only lists that hold two nodes at least;
     a node with fewer than ``matches`` shared lists is skipped. Collisions are counted where nodes meet, and links are
-    confirmed on full sets.
+    confirmed on full sets. ``matches`` follows ``percent`` and ``size`` (``matches_for``) unless it is given.
 
     Null or empty text, or only white space: n_shingles 0, linked with nothing. A null doc_id is carried along and
     counts as larger than any number. Repeated rows have equal sets, so they share a component; all rows with its least
     doc_id are kept. Other columns are not read. No rows give no rows.
     """
+    matches = matches_for(percent, size) if matches is None else matches
     if size > 62 or not 0 < matches <= size:
         raise ValueError("size must be at most 62 and matches within it")
     kind = docs.schema[doc_id].dataType.simpleString()

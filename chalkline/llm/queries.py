@@ -64,7 +64,7 @@ def _reach(links: str) -> str:
     """,
 )
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("row")
 
 
 @query("op4_quality")

@@ -24,8 +24,8 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the one with the least doc_id stays."""
-    return minhash.without_near_duplicates(docs)
+    """Of near duplicates, from a similarity of 0.8 on, the one with the least doc_id stays."""
+    return minhash.without_near_duplicates(docs, percent=80)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

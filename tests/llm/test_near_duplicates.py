@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from chalkline.llm import lines, links, minhash, words
 
 SF = "/root/testdata/sf0.001"
@@ -58,6 +59,26 @@ def test_minhash_components(spark, documents, monkeypatch, block):
     assert sorted(r.doc_id for r in stay.collect()) == sorted(i for i in want if want[i] == i)
 
 
+def test_pipeline_drops_near_duplicates_from_80_percent_on(spark):
+    rows = [(k, t) for k, t in enumerate(brute.variants(1, 60, 80, 6) + brute.variants(2, 40, 120, 12))]
+    base = [f"v{k}" for k in range(94)]
+    # 90 shingles each, of which the first text has 80 in common with the second and 79 with the third
+    for k, (low, high) in enumerate(((0, 94), (10, 94), (0, 83))):
+        rows.append((1000 + k, " ".join([f"a{j}" for j in range(low)] + base[low:high] + [f"z{j}" for j in range(high, 94)])))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    assert [(len(sets[1000] & sets[k]), len(sets[1000] | sets[k])) for k in (1001, 1002)] == [(80, 100), (79, 101)]
+    want = brute.components(sets, 80)
+    assert want != brute.components(sets, 85)
+    stay = corpus_pipeline.distinct_documents(spark, frame(spark, rows), SF)
+    assert sorted(r.doc_id for r in stay.collect()) == sorted(i for i in want if want[i] == i)
+
+
+def test_matches_follow_the_threshold():
+    assert [minhash.matches_for(p) for p in (100, 85, 80, 60)] == [32, 17, 15, 7]
+    with pytest.raises(ValueError):
+        minhash.matches_for(10)
+
+
 def test_minhash_edges(spark):
     rows = [(None, "a b c"), (3, "a b c"), (3, "a b c"), (None, None), (2, "A B C"), (None, "lonely words stand here")]
     got = sorted(minhash.near_duplicates(frame(spark, rows)).drop("row").collect(), key=str)

@@ -176,9 +176,10 @@ def canonical_rows(df: DataFrame) -> DataFrame:
 
 
 def canonical(df: DataFrame, record: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """Turns of any supported table: of a record column, or by the fingerprint of the table's own field paths.
+    """Turns of any supported table: of a record column, by each record's fingerprint, or of the table's own columns.
 
-    Tables with one row per turn may have further columns. Other typed tables must have a mapping's paths exactly.
+    Tables with one row per turn are told by their column names, without a fingerprint or a mapping, and may have
+    further columns. Other typed tables must have a mapping's field paths exactly.
     """
     if record:
         return canonical_records(df, record, mappings)

@@ -204,8 +204,11 @@ def fuzzy_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 
     Null or empty texts and blank lines give no rows. A null doc_id sorts last. Rows repeated whole, and different rows
     of one doc_id, are told from others by (doc_id, line_no): all of them that are the first line are kept. Other
-    columns are not read. No rows give no rows.
+    columns are not read. No rows give no rows. The bands serve a ``percent`` of 80 or more; less is refused, as pairs
+    would be missed.
     """
+    if percent < PERCENT:
+        raise ValueError(f"{BANDS} bands of {ROWS} miss pairs below {PERCENT} percent")
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = _rows(docs, doc_id, text)
     names = [f"band_{k}" for k in range(BANDS)]

@@ -117,6 +117,12 @@ def test_fuzzy_lines(spark, documents, monkeypatch, block):
     assert {r.doc_id: r.text for r in left.collect()} == texts
 
 
+def test_fuzzy_lines_refuse_thresholds_that_the_bands_miss(spark):
+    with pytest.raises(ValueError):
+        lines.fuzzy_lines(frame(spark, []), percent=79)
+    assert lines.fuzzy_lines(frame(spark, []), percent=90).count() == 0
+
+
 def test_fuzzy_lines_edges(spark):
     rows = [(None, "a line of text\nonly here it is"), (5, "A line of text"), (5, "A line of text"), (6, None), (7, "\n \n"), (4, "a line of text\nmore\nmore")]
     got = sorted((r.doc_id, r.line_no, r.first_doc_id, r.first_line_no, r.kept) for r in lines.fuzzy_lines(frame(spark, rows)).where("doc_id is not null").collect())

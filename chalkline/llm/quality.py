@@ -86,7 +86,8 @@ def train(
 ) -> np.ndarray:
     """Weights learned from labelled rows whose crc32(doc_id as text) mod 5 is not 0.
 
-    At most ``sample`` of those rows are learned from, the ones with the least hashes of doc_id; only their ids, then
+    At most ``sample`` of those rows are learned from, the ones with the least hashes of doc_id, and of rows with one
+    doc_id the one with the least hash of its text; only their ids, then
     ``SHARDS`` weight vectors are gathered, never texts. Contradicting labels of one doc_id count as the least. No
     labelled rows, or none of one class, is allowed: weights 0 score 0.5. Labels other than 0 and 1 are not read.
     """
@@ -97,7 +98,9 @@ def train(
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)))
+    # one row for each chosen id, so that the bound holds for rows, too
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = once.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)))
 
     def learn(part: pa.Table) -> pa.Table:
         part = part.take(np.lexsort((part["text_hash"].to_numpy(), part["order"].to_numpy())))

@@ -73,6 +73,14 @@ def test_quality_never_learns_held_out_labels(spark):
     assert (quality.train(docs, labels) == quality.train(docs, flipped)).all()
 
 
+def test_quality_learns_each_doc_id_once(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    one = docs.join(labels, "doc_id", "left_semi").where(~quality.held_out("doc_id")).orderBy("doc_id").limit(1)
+    often = docs.unionByName(one.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("again"))
+    assert often.count() == docs.count() + 50
+    assert (quality.train(docs, labels) == quality.train(often, labels)).all()
+
+
 def test_quality_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")

@@ -69,8 +69,8 @@ def mix(
     as long as its budget lasts; of the next epoch it takes a prefix in that epoch's seeded order: all documents up to
     the place where the sum of words would pass the budget.
 
-    Null level values are one leaf. Leaves without a weight get nothing. Null or empty texts have no words and go with
-    their place in the order. Rows of one place, which are repeated rows, stand or fall together. A null doc_id is
+    Null level values are one leaf. Leaves without a weight, and leaves that hold no words at all, get nothing. Other
+    null or empty texts have no words and go with their place in the order. Rows of one place, which are repeated rows, stand or fall together. A null doc_id is
     placed by its text. Other columns pass through; columns with the added names are replaced. No rows, or no weights,
     give no rows.
 

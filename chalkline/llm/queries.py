@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, quality, secrets
+from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, periods, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -356,3 +356,83 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.top_by_inner_product(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# crc32 of the decimal digits of a bigint, from a table made by its rule.
+_CRC_TABLE = """
+    select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc"""
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one document in ten repeats a stretch of its own words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
+    )
+    sized = split.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    sized = sized.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    tiled = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return sized.select("doc_id", F.when(F.col("n") > 0, tiled).otherwise(F.col("text")).alias("text"))
+
+
+@query(
+    "op12_periods",
+    f"""
+    with split as (
+        select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents
+    ),
+    named as (select doc_id, w, len(w) as n, {_CRC} as h from split, ({_CRC_TABLE})),
+    tiled as (
+        select doc_id, n, case when h % 10 = 0 and n > 0
+            then list_transform(range(n), lambda i: w[case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) end + 1])
+            else w end as w
+        from (select *, (h // 10) % greatest(n, 1) as a from named)
+    ),
+    texts as materialized (select row_number() over () as t, * from tiled),
+    grams as materialized (
+        select t, n, unnest(range(n - 5)) as i, unnest(list_transform(range(n - 5), lambda i: array_to_string(w[i + 1 : i + 6], ' '))) as gram
+        from texts where n >= 6
+    ),
+    agree as (select x.t, x.i, y.i - x.i as p from grams x join grams y on x.t = y.t and x.gram = y.gram and y.i > x.i and 2 * (y.i - x.i) <= x.n),
+    stretches as (
+        select t, p, min(i) as start, count(*) + 5 + p as length
+        from (select *, i - row_number() over (partition by t, p order by i) as island from agree) group by t, p, island
+    ),
+    runs as materialized (
+        select t, start, length, min(p) as period from stretches where length >= greatest(12, 2 * p) group by t, start, length
+    ),
+    told as (
+        select t, count(*) as n_runs, arg_min({{'s': start, 'l': length, 'p': period}}, {{'a': -length, 'b': start, 'c': period}}) as best,
+            string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as listing
+        from runs group by t
+    ),
+    gone as (select distinct t, unnest(range(start + period, start + length)) as i from runs),
+    kept as (
+        select t, string_agg(word, ' ' order by i) as collapsed
+        from (select t, unnest(range(n)) as i, unnest(w) as word from texts) anti join gone using (t, i) group by t
+    )
+    select doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, best.l as length, best.p as period,
+        (1000 * best.l) // best.p as exponent_milli, sha256(coalesce(listing, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+    from texts left join told using (t) left join kept using (t)
+    """,
+)
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    told = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

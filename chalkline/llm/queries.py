@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, periods, quality, secrets
+from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, periods, quality, repeats, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -436,3 +436,46 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_repeats",
+    """
+    with texts as materialized (
+        select row_number() over () as t, doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n_bytes
+        from documents
+    ),
+    strings as materialized (
+        select t, unnest(range(n_bytes - 199)) as i, unnest(list_transform(range(n_bytes - 199), lambda i: md5_number(substr(h, 2 * i + 1, 400)))) as string
+        from texts where n_bytes >= 200
+    ),
+    again as (select string from strings group by string having count(*) > 1),
+    starts as materialized (select t, i from strings where string in (select string from again)),
+    reached as (select t, i, max(i) over (partition by t order by i rows between unbounded preceding and 1 preceding) + 200 as before from starts),
+    spans as materialized (
+        select t, min(i) as low, max(i) + 200 as high
+        from (select t, i, sum(case when before is null or before < i then 1 else 0 end) over (partition by t order by i) as span from reached)
+        group by t, span
+    ),
+    removed as (select t, sum(high - low)::bigint as n_removed, count(*) as n_spans from spans group by t),
+    pieces as (
+        select t, low, lag(high, 1, 0) over (partition by t order by low) as from_byte, low as to_byte from spans
+        union all
+        select t, n_bytes, coalesce((select max(high) from spans s where s.t = texts.t), 0), n_bytes from texts
+    ),
+    kept as (
+        select t, string_agg(substr(h, 2 * from_byte + 1, 2 * (to_byte - from_byte)), '' order by low, from_byte) as kept
+        from pieces join texts using (t) group by t
+    )
+    select doc_id, n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(kept)) as kept_sha256
+    from texts left join removed using (t) left join kept using (t)
+    """,
+)
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

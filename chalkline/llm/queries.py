@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, periods, quality, repeats, secrets
+from chalkline.llm import bpe, chat, embeddings, hosts, lines, minhash, mixing, nearest, negatives, periods, quality, repeats, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -479,3 +479,33 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op13_negatives",
+    """
+    with v as materialized (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as e
+        from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ),
+    scored as materialized (
+        select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.e, b.e)::bigint as score
+        from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    ),
+    positives as (
+        select anchor_id, other_id as positive_id, score as positive_score from scored where same
+        qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+    )
+    select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::integer as rank
+    from positives join scored using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+    qualify rank <= 3
+    """,
+)
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)

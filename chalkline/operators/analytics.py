@@ -318,6 +318,44 @@ def drilldown(df: DataFrame, level: str, measures: dict[str, Column], columns: d
     return filtered(df, **picked).groupBy(columns[level]).agg(*[m.alias(n) for n, m in measures.items()])
 
 
+def drilldown_levels(
+    facts: DataFrame, members: DataFrame, entity: str = "student_id", value: str = "max_score_to_date", columns: Sequence[str] = tuple(LEVELS.values())
+) -> DataFrame:
+    """All levels of the drill-down at once: ``level``, the path to it (NULL below it), entities and average value.
+
+    The innermost level is the entity, without a path.
+
+    ``facts`` holds values of entities, ``members`` a row for each place of an
+    entity on the path ``columns``, whose last is the entity itself.  Facts are
+    summed up per entity first, and places are counted per entity and path, so
+    no fact meets a membership row; grouping sets then roll the paths up, first
+    per entity, as an entity with several places at one level counts once, then
+    over entities.  An average weighs an entity by its places.
+    """
+    *path, own = columns
+    sums = facts.groupBy(F.col(entity).alias("__e")).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+    places = members.groupBy(F.col(entity).alias(own), *path).agg(F.count(F.lit(1)).alias("__w"))
+    scored = places.join(sums, F.col(own) == F.col("__e"), "inner").drop("__e")
+    sets = [[F.col(c) for c in path[: k + 1]] + [F.col(own)] for k in range(len(path))] + [[F.col(own)]]
+    # the grouping number tells a level apart from a NULL in its path
+    rolled = scored.groupingSets(sets, *[F.col(c) for c in path], F.col(own)).agg(
+        F.grouping_id().alias("__level"), F.sum("__w").alias("__w"), F.first("__sum").alias("__sum"), F.first("__n").alias("__n")
+    )
+    number = {sum(1 << (len(path) - j) for j in range(k + 1, len(path))): path[k] for k in range(len(path))}
+    number[sum(1 << (len(path) - j) for j in range(len(path)))] = own
+    names = {c: level for level, c in zip(LEVELS, columns, strict=True)}
+    level = F.lit(None).cast("string")
+    for mark, column in number.items():
+        level = F.when(F.col("__level") == mark, names[column]).otherwise(level)
+    alone = F.when(F.col("level") == names[own], F.col(own)).alias(own)
+    weighed = F.sum(F.col("__w") * F.col("__n"))
+    return (
+        rolled.withColumn("level", level)
+        .groupBy("level", *path, alone)
+        .agg(F.count(F.lit(1)).alias("students"), F.when(weighed > 0, F.sum(F.col("__w") * F.col("__sum")) / weighed).alias("avg_score"))
+    )
+
+
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows by ``order``; each task keeps only its own first ``n``."""
     return df.orderBy(*order).limit(n)

@@ -55,23 +55,34 @@ def enrich(left: DataFrame, right: DataFrame, on, take: Sequence[str] | dict[str
 
 
 def fan_out(left: DataFrame, right: DataFrame, on, take: Sequence[str] | dict[str, str]) -> DataFrame:
-    """Left join to a table with many rows per key.
-
-    An outer join cannot split a hot key on its right side, an inner join can.
-    So: matched rows by an inner join, unmatched rows by an anti join against
-    the distinct keys, and rows with a NULL key without any join.
+    """Left join to a table with many rows per key, which may be hot.
+
+    An outer join cannot split a hot key on its right side.  So the right rows
+    of a key are spread over salts, by a hash of what they bring, and a left row
+    goes once to each salt that its key has there, hence never more often than
+    it has matches; one without matches goes to a salt of its own hash, NULL
+    keys too, so none of them pile up.  Each side is read once: the salts of a
+    key come from the same shuffle that the join reads.
     """
     pairs = _pairs(on)
     take = dict(take) if isinstance(take, dict) else {c: c for c in take}
-    keyed = _keyed(right, pairs, take)
     marks = [f"__r_{i}" for i in range(len(pairs))]
-    matched = left.join(keyed, _matches(pairs), "inner").drop(*marks)
-    types = dict(keyed.dtypes)
-    blanks = {name: F.lit(None).cast(types[name]) for name in take}
-    keyed_left = left.filter(_has_keys(pairs))
-    alone = keyed_left.join(keyed.select(*marks).distinct(), _matches(pairs), "left_anti")
-    no_key = left.filter(~_has_keys(pairs))
-    return matched.unionByName(alone.withColumns(blanks)).unionByName(no_key.withColumns(blanks))
+    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = _keyed(right, pairs, take)
+    keyed = keyed.filter(all_of([F.col(m).isNotNull() for m in marks]))
+    # never null, or the join would filter its side only and the two readings would differ
+    salt = F.coalesce(F.pmod(F.xxhash64(*take), F.lit(salts)), F.lit(0))
+    # dealt by the salt's expression and salted above it: both readers need the same columns, so one shuffle serves them
+    spread = keyed.repartition(*marks, salt).withColumn("__r_salt", salt)
+    known = spread.groupBy(*[F.col(m).alias(m.replace("__r_", "__s_")) for m in marks]).agg(F.collect_set("__r_salt").alias("__salts"))
+    alone = F.array(-1 - F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    placed = (
+        left.join(known, [F.col(c) == F.col(f"__s_{i}") for i, c in enumerate(pairs)], "left")
+        .withColumn("__salt", F.explode(F.coalesce("__salts", alone)))
+        .drop("__salts", *[m.replace("__r_", "__s_") for m in marks])
+    )
+    joined = placed.join(spread, [*_matches(pairs), F.col("__salt") == F.col("__r_salt")], "left")
+    return joined.select(*left.columns, *take)
 
 
 def orphans(child: DataFrame, parent: DataFrame, on, null_is_orphan: bool = True) -> DataFrame:

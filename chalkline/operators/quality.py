@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chalkline.functions import exprs as x
 from chalkline.operators.joins import orphan_count
+from chalkline.sources.sinks import write_parquet
 
 LOG_COLUMNS = (
     "source_system",
@@ -114,6 +115,40 @@ def route(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     return flagged.filter(~bad).drop("__failures"), flagged.filter(bad).drop("__failures")
 
 
+@dataclass(frozen=True)
+class Routed:
+    """What one pass over a table left behind."""
+
+    passed: DataFrame
+    quarantined: DataFrame
+    log: DataFrame
+    totals: dict[str, int]
+
+
+def routed(
+    df: DataFrame, rules: Sequence[Rule], path: str, run_ts: datetime | Column, record_id: str, source: str = "_source_system"
+) -> Routed:
+    """Split a table by its rules in one pass: each row is judged once and written once, below ``path`` by its outcome.
+
+    Passed and quarantined rows are then read from their own folders, the log is
+    made from the failures that were written along with the quarantined rows,
+    and the totals are observed while the rows go by.  A run again replaces
+    ``path`` when it has ended well.
+    """
+    flagged = with_failures(df, rules)
+    bad = F.size("__failures") > 0
+    seen = Observation("routed")
+    counted = flagged.observe(
+        seen, F.count(F.lit(1)).alias("ingested"), F.count_if(~bad).alias("passed"), F.count_if(bad).alias("quarantined"),
+        F.coalesce(F.sum(F.size("__failures")), F.lit(0)).alias("failures"),
+    )
+    write_parquet(counted.withColumn("__outcome", F.when(bad, "quarantined").otherwise("passed")), path, by=["__outcome"])
+    kept = df.sparkSession.read.schema(flagged.schema.add("__outcome", "string")).parquet(path)
+    passed, quarantined = (kept.filter(F.col("__outcome") == outcome).drop("__outcome") for outcome in ("passed", "quarantined"))
+    log = violation_log(quarantined, run_ts, record_id, source)
+    return Routed(passed.drop("__failures"), quarantined.drop("__failures"), log, seen.get)
+
+
 def route_totals(flagged: DataFrame, by: Sequence[str] = (), name: str = "__failures") -> DataFrame:
     """Records ingested, passed and quarantined."""
     bad = F.size(name) > 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from chalkline.registry import bindings as b
 from chalkline.registry.base import query, rounded
 from chalkline.registry.model import Model
 from chalkline.registry.oracle import LEVEL, with_models
-from chalkline.session import materialized
+from chalkline.session import materialized, remove_at_exit, scratch_path
 from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, XML_ENTITIES, XML_SOURCE
 
 
@@ -85,11 +87,11 @@ def gate_student_id_not_null(m: Model) -> DataFrame:
 )
 def gate_pii_masked(m: Model) -> DataFrame:
     """Forbidden columns of a published table and, for contrast, of the raw staff table."""
-    parts = []
-    for name, df, key in (("dim_student", m.table["dim_student"], "student_id"), ("raw_staff", m.raw_xml["staff"], "staff_unique_id")):
-        found = sum(c in pii.FORBIDDEN_COLUMNS for c in df.columns)
-        parts.append(df.agg(F.lit(name).alias("table"), F.count(key).alias("rows_checked"), F.lit(found).alias("forbidden")))
-    return parts[0].unionByName(parts[1])
+    checked = (("dim_student", m.table["dim_student"], "student_id"), ("raw_staff", m.raw_xml["staff"], "staff_unique_id"))
+    rows = reduce(DataFrame.unionByName, (df.agg(F.lit(name).alias("table"), F.count(key).alias("rows_checked")) for name, df, key in checked))
+    found = reduce(DataFrame.unionByName, (pii.forbidden_columns(df).select(F.lit(name).alias("table")) for name, df, _ in checked))
+    counted = found.groupBy("table").agg(F.count(F.lit(1)).cast("int").alias("forbidden"))
+    return rows.join(counted, "table", "left").withColumn("forbidden", F.coalesce("forbidden", F.lit(0)))
 
 
 @query(
@@ -308,6 +310,48 @@ def routing_totals(m: Model) -> DataFrame:
     return quality.route_totals(_flagged(m))
 
 
+@query(
+    "routed_in_one_pass",
+    with_models(
+        f"""SELECT outcome, count(*) AS rows, sum(failures)::bigint AS failures, min(total) AS observed, min(student_id) AS first_student FROM (
+              SELECT *, CASE WHEN bad_school OR bad_date THEN 'quarantined' ELSE 'passed' END AS outcome,
+                     bad_school::int + bad_date::int AS failures,
+                     count(*) OVER (PARTITION BY bad_school OR bad_date) AS total FROM ({_FLAGS}) f) g GROUP BY outcome"""
+    ),
+)
+def routed_in_one_pass(m: Model) -> DataFrame:
+    """Both sides as they were written, next to the totals observed on the way and the log made from the written failures."""
+    path = scratch_path(m.spark, "routed")
+    done = quality.routed(
+        m.table["int_enrollments"], k12.enrollment_rules(m.table["dim_school"], m.as_of), path, m.run_ts, "student_id"
+    )
+    remove_at_exit(m.spark, path)
+    logged = done.log.agg(F.count(F.lit(1)).alias("failures"))
+    sides = [
+        df.agg(F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("rows"), F.lit(done.totals[name]).cast("long").alias("observed"), F.min("student_id").alias("first_student"))
+        for name, df in (("passed", done.passed), ("quarantined", done.quarantined))
+    ]
+    failures = logged.select(F.lit("quarantined").alias("outcome"), "failures")
+    both = sides[0].unionByName(sides[1]).join(failures, "outcome", "left")
+    return both.withColumn("failures", F.coalesce("failures", F.lit(0).cast("long")))
+
+
+@query(
+    "quality_freshness",
+    """SELECT s AS source, age, count(*) AS ingested,
+              CASE WHEN age <= 1 THEN 'green' WHEN age <= 7 THEN 'yellow' ELSE 'red' END AS freshness
+       FROM (SELECT o_orderstatus AS s, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 7 ELSE 8 END AS age FROM orders) o
+       GROUP BY s, age""",
+)
+def quality_freshness(m: Model) -> DataFrame:
+    """Sources loaded today, a week ago and before: each colour of the scorecard."""
+    age = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 7).otherwise(8)
+    loaded = m.t["orders"].select(F.col("o_orderstatus").alias("source"), age.alias("age"), F.date_sub(m.as_of, age).cast("string").alias("_loaded_at"))
+    rules = [quality.Rule("known", "Source is known", "source", "Must be known", F.col("source").isNull())]
+    card = quality.scorecard(quality.with_failures(loaded, rules), m.as_of, source="source")
+    return card.select("source", F.date_diff(m.as_of, F.col("last_loaded_at").cast("date")).alias("age"), "ingested", "freshness")
+
+
 @query(
     "quality_scorecard",
     with_models(
@@ -889,6 +933,27 @@ def drilldown_students_of_grade(m: Model) -> DataFrame:
     return analytics.drilldown(_placed(m), "student", _measures(), district="ASIA", grade=1)
 
 
+@query(
+    "drilldown_levels",
+    with_models(
+        """SELECT level, district_name, school_id, grade_level, section_id, CASE WHEN level = 'student' THEN student_id END AS student_id,
+                  count(DISTINCT s) AS students, round(avg(max_score_to_date), 9) AS avg_score FROM (
+             SELECT l.max_score_to_date, p.student_id AS s, p.student_id, v.level, CASE WHEN v.depth < 5 THEN p.district_name END AS district_name,
+                    CASE WHEN v.depth IN (2, 3, 4) THEN p.school_id END AS school_id,
+                    CASE WHEN v.depth IN (3, 4) THEN p.grade_level END AS grade_level, CASE WHEN v.depth = 4 THEN x.section_id END AS section_id
+             FROM latest l JOIN members p USING (student_id) JOIN section_memberships x USING (student_id),
+                  (VALUES (1, 'district'), (2, 'school'), (3, 'grade'), (4, 'section'), (5, 'student')) v(depth, level)) r
+           GROUP BY ALL"""
+    ),
+)
+def drilldown_levels(m: Model) -> DataFrame:
+    """Every level from district to student, over the sections that students attend."""
+    places = k12.members(m.table["dim_student"], m.table["dim_school"]).select("student_id", "district_name", "school_id", "grade_level")
+    sections = m.table["section_memberships"].select(F.col("student_id").alias("__s"), "section_id")
+    members = places.join(sections, F.col("student_id") == F.col("__s"), "inner").drop("__s")
+    return rounded(analytics.drilldown_levels(latest(m), members), "avg_score")
+
+
 @query(
     "masking_table",
     with_models(
@@ -902,6 +967,7 @@ def drilldown_students_of_grade(m: Model) -> DataFrame:
 def masking_table(m: Model) -> DataFrame:
     """How each personal field of the student table is masked, with the rows it covers."""
     rows = m.table["dim_student"]
-    fields = [f for f in pii.MASKING if f"{f}_hash" in rows.columns or f == "birth_date"]
-    cells = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("field", "classification", "method", "layer"), (f, *pii.MASKING[f]))]) for f in fields]
-    return rows.agg(F.count(F.lit(1)).alias("students")).select("students", F.inline(F.array(*cells)))
+    masked = {"birth_date": "birth_year"}
+    fields = [F.lit(f) for f in pii.MASKING if masked.get(f, f"{f}_hash") in rows.columns]
+    covered = rows.select(F.explode(F.array(*fields)).alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("students"))
+    return pii.masking_table(rows).join(covered, "field")

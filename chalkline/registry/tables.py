@@ -13,9 +13,9 @@ from chalkline.registry import bindings as b
 from chalkline.registry.base import add, query, rounded
 from chalkline.registry.model import Model
 from chalkline.registry.oracle import staged, with_models
-from chalkline.session import scratch_path
+from chalkline.session import materialized, remove_at_exit, scratch_path
 from chalkline.sources import readers, sinks
-from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, XML_ENTITIES, XML_SOURCE
+from chalkline.sources.specs import CSV_ENTITIES, CSV_SOURCE, SEEDS, XML_ENTITIES, XML_SOURCE
 
 # --- scans: the bound tables are written in the source format and read back ---
 
@@ -52,6 +52,7 @@ def as_elements(df: DataFrame, name: str) -> DataFrame:
 def xml_scan(m: Model, name: str) -> DataFrame:
     path = scratch_path(m.spark, "xml")
     as_elements(m.raw_xml[name], name).write.text(f"{path}/{XML_ENTITIES[name].file}")
+    remove_at_exit(m.spark, path)
     return readers.read_xml(m.spark, path, name, b.LOADED_AT)
 
 
@@ -65,6 +66,7 @@ def csv_scan(m: Model, name: str) -> DataFrame:
     rows = m.raw_csv[name]
     headed = rows.select(*[F.col(c).alias(camel_case(c)) for c in rows.columns], F.lit("active").alias("status"))
     headed.write.option("header", True).csv(f"{path}/{CSV_ENTITIES[name].file}")
+    remove_at_exit(m.spark, path)
     return readers.read_csv(m.spark, path, name, b.LOADED_AT)
 
 
@@ -112,6 +114,7 @@ def xml_items_flattened(m: Model) -> DataFrame:
     )
     path = scratch_path(m.spark, "items")
     m.t["lineitem"].select(element.alias("element")).write.text(path)
+    remove_at_exit(m.spark, path)
     entity = XML_ENTITIES["assessment_results"]
     elements = readers.xml_elements(m.spark, path, entity.row_tag)
     return readers.stamp(readers.parse_elements(elements, entity), XML_SOURCE, b.LOADED_AT)
@@ -129,6 +132,7 @@ def xml_malformed_elements(m: Model) -> DataFrame:
     )
     path = scratch_path(m.spark, "broken")
     m.t["lineitem"].select(F.concat(F.lit("<LearningStandard>"), broken, F.lit("</LearningStandard>"))).write.text(path)
+    remove_at_exit(m.spark, path)
     entity = XML_ENTITIES["standards"]
     elements = readers.xml_elements(m.spark, path, entity.row_tag)
     good = readers.parse_elements(elements, entity).select(F.lit(1).alias("parsed"), F.lit(0).alias("malformed"))
@@ -136,6 +140,95 @@ def xml_malformed_elements(m: Model) -> DataFrame:
     return good.unionByName(bad).agg(F.sum("parsed").alias("parsed"), F.sum("malformed").alias("malformed"))
 
 
+@query(
+    "xml_elements_with_attributes",
+    """SELECT count(*) AS elements, count(DISTINCT o_orderkey) AS codes, count(*) FILTER (WHERE o_orderstatus = 'P') AS empty,
+              min(o_orderkey::varchar) AS least, max(o_orderkey::varchar) AS most, true AS by_many_tasks FROM orders""",
+)
+def xml_elements_with_attributes(m: Model) -> DataFrame:
+    """One file of elements that all carry attributes, read by several tasks."""
+    path = scratch_path(m.spark, "attributes")
+    orders = m.t["orders"]
+    content = F.when(
+        F.col("o_orderstatus") == "P", F.format_string('<LearningStandard id="%d" kind="empty"/><!-- %d -->', "o_orderkey", "o_orderkey")
+    ).otherwise(
+        F.format_string('<LearningStandard id="%d"><StandardCode>%d</StandardCode></LearningStandard>', "o_orderkey", "o_orderkey")
+    )
+    orders.select(content).coalesce(1).write.text(path)
+    remove_at_exit(m.spark, path)
+    size = sum(f["length"] for f in m.spark.read.text(path).select("_metadata.file_path", F.col("_metadata.file_size").alias("length")).distinct().collect())
+    before = m.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    m.spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(4096, size // 8)))
+    try:
+        entity = XML_ENTITIES["standards"]
+        elements = readers.xml_elements(m.spark, path, entity.row_tag, attributes=True)
+        rows = readers.parse_elements(elements, entity)
+        tasks = rows.select("standard_code", F.spark_partition_id().alias("task"))
+        code = F.col("standard_code")
+        out = tasks.agg(
+            F.count(F.lit(1)).alias("elements"), (F.count_distinct(code) + F.count_if(code.isNull())).alias("codes"), F.count_if(code.isNull()).alias("empty"),
+            F.min(code).alias("least"), F.max(code).alias("most"), (F.count_distinct("task") > 1).alias("by_many_tasks"),
+        )
+        return materialized(out, "attributes-read")
+    finally:
+        m.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@query(
+    "csv_fields_with_line_breaks",
+    """SELECT 'o' || o_orderkey AS sourced_id,
+              CASE WHEN o_orderkey % 3 = 0 THEN 'two' || chr(10) || '"lines" of ' || o_orderkey WHEN o_orderkey % 5 = 0 THEN 'a, b' ELSE 'plain' END AS name,
+              o_orderstatus AS identifier FROM orders""",
+)
+def csv_fields_with_line_breaks(m: Model) -> DataFrame:
+    """Quoted fields with line breaks, quotes and commas."""
+    path = scratch_path(m.spark, "breaks")
+    key = F.col("o_orderkey")
+    name = (
+        F.when(key % 3 == 0, F.concat(F.lit('two\n"lines" of '), key.cast("string"))).when(key % 5 == 0, "a, b").otherwise("plain")
+    )
+    rows = m.t["orders"].select(
+        F.concat(F.lit("o"), key).alias("sourcedId"), name.alias("name"), F.lit("school").alias("type"), F.col("o_orderstatus").alias("identifier"), F.lit("d1").alias("parentSourcedId")
+    )
+    rows.write.option("header", True).option("escape", '"').csv(f"{path}/{CSV_ENTITIES['orgs'].file}")
+    remove_at_exit(m.spark, path)
+    return readers.read_csv(m.spark, path, "orgs", b.LOADED_AT).select("sourced_id", "name", "identifier")
+
+
+def _sources(m: Model, path: str) -> None:
+    """The bound tables as a delivery: XML interchange files, CSV roster and seeds."""
+    for name, entity in XML_ENTITIES.items():
+        as_elements(m.raw_xml[name], name).write.text(f"{path}/xml/{entity.file}")
+    for name, entity in CSV_ENTITIES.items():
+        rows = m.raw_csv[name]
+        headed = rows.select(*[F.col(c).alias(camel_case(c)) for c in rows.columns])
+        headed.write.option("header", True).option("escape", '"').csv(f"{path}/csv/{entity.file}")
+    for name, rows in ((n, m.seeds[n]) for n in SEEDS):
+        rows.write.option("header", True).option("escape", '"').csv(f"{path}/seeds/{name}.csv")
+
+
+@query(
+    "pipeline_end_to_end",
+    with_models(
+        " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS rows FROM {t}""" for t in pipeline.GOLD)
+        + """ UNION ALL SELECT 'students of the view', count(DISTINCT student_id) FROM dim_student JOIN dim_school USING (school_id)
+              UNION ALL SELECT 'malformed', 0"""
+    ),
+)
+def pipeline_end_to_end(m: Model) -> DataFrame:
+    """The whole run from delivered files: silver, unified and published tables, and a view on two of them."""
+    path = scratch_path(m.spark, "run")
+    database = f"gold_{path.rsplit('-', 1)[-1]}"
+    _sources(m, path)
+    remove_at_exit(m.spark, path)
+    tables = pipeline.run(m.spark, f"{path}/xml", f"{path}/csv", f"{path}/seeds", f"{path}/silver", m.as_of, m.run_ts, b.LOADED_AT, database)
+    sinks.publish_view(k12.members(tables["dim_student"], tables["dim_school"]), f"members_{database}")
+    view = sql_query(m.spark, f"SELECT 'students of the view' AS table, count(DISTINCT student_id) AS rows FROM members_{database}")
+    published = row_counts({name: m.spark.table(f"{database}.{name}") for name in pipeline.GOLD})
+    malformed = row_counts({"malformed": m.spark.read.parquet(f"{path}/silver/malformed")})
+    return published.unionByName(view).unionByName(malformed)
+
+
 @query(
     "seed_scan",
     with_models("SELECT * FROM seed_learning_standards"),
@@ -143,6 +236,7 @@ def xml_malformed_elements(m: Model) -> DataFrame:
 def seed_scan(m: Model) -> DataFrame:
     path = scratch_path(m.spark, "seed")
     m.seeds["seed_learning_standards"].write.option("header", True).csv(f"{path}/seed_learning_standards.csv")
+    remove_at_exit(m.spark, path)
     return readers.read_seed(m.spark, path, "seed_learning_standards")
 
 
@@ -154,7 +248,9 @@ def parquet_sink_overwrite(m: Model) -> DataFrame:
     path = scratch_path(m.spark, "sink")
     rows = m.t["orders"].select("o_orderkey", "o_custkey", "o_totalprice")
     sinks.write_parquet(m.t["region"], path)
-    return sinks.write_parquet(rows, path)
+    written = sinks.write_parquet(rows, path)
+    remove_at_exit(m.spark, path)
+    return written
 
 
 _STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -168,6 +264,7 @@ def registered_parquet_directories(m: Model) -> DataFrame:
     path = scratch_path(m.spark, "tables")
     sinks.write_all({name: m.t[name] for name in _STAR}, path)
     sinks.write_parquet(m.t["region"], f"{path}/_hidden")
+    remove_at_exit(m.spark, path)
     return row_counts(sinks.register_parquet_dir(m.spark, path, f"registered_{path.rsplit('-', 1)[-1]}"))
 
 

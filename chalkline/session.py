@@ -68,9 +68,14 @@ def materialized(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a scratch folder, which must be there, removed when the driver ends."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_upto(df: DataFrame, rows: int) -> DataFrame:

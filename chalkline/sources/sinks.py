@@ -3,16 +3,45 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite ``path`` and return a frame that reads it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> DataFrame:
+    """Overwrite ``path``, partitioned ``by`` columns, and return a frame that reads it.
+
+    The new files are written beside the old ones, which are swapped out by two
+    renames only when all are there.  So a run that fails half way leaves the
+    old table as it was, and ``df`` may read what it replaces.  Where a rename
+    copies, as in object stores, the swap takes as long as a copy.
+    """
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def beside(name: str):
+        return spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{name}-{at.getName()}-{uuid.uuid4().hex[:8]}")
+
+    fresh, old = beside("fresh"), beside("old")
+    try:
+        df.write.partitionBy(*by).parquet(fresh.toString())
+    except BaseException:
+        files.delete(fresh, True)
+        raise
+    if files.exists(at):
+        _renamed(files, at, old)
+    _renamed(files, fresh, at)
+    files.delete(old, True)
+    return spark.read.parquet(path)
+
+
+def _renamed(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"{source.toString()} could not be renamed to {target.toString()}")
 
 
 def write_all(tables: dict[str, DataFrame], directory: str, at_once: int = 4) -> dict[str, DataFrame]:
@@ -23,10 +52,21 @@ def write_all(tables: dict[str, DataFrame], directory: str, at_once: int = 4) ->
 
 
 def publish(df: DataFrame, table: str, database: str = "gold") -> DataFrame:
-    """Overwrite a managed table and return a frame that reads it."""
+    """Overwrite a managed table and return a frame that reads it.
+
+    Written under another name first, so that a failed run keeps the old table
+    and ``df`` may read what it replaces.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    df.write.mode("overwrite").saveAsTable(f"`{database}`.`{table}`")
+    fresh = f"`{database}`.`{table}_fresh_{uuid.uuid4().hex[:8]}`"
+    try:
+        df.write.saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO `{database}`.`{table}`")
     return spark.table(f"`{database}`.`{table}`")
 
 

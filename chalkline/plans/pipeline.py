@@ -75,7 +75,7 @@ def malformed_log(spark: SparkSession, xml_input: str | None, csv_input: str | N
     if xml_input is not None:
         broken += [(XML_SOURCE, name, xml_rule, readers.read_malformed_xml(spark, xml_input, name)) for name in XML_ENTITIES]
     if csv_input is not None:
-        broken += [(CSV_SOURCE, name, csv_rule, readers.read_malformed_csv(spark, csv_input, name)) for name in CSV_ENTITIES]
+        broken += [(CSV_SOURCE, name, csv_rule, readers.read_malformed_csv(spark, csv_input, name, line_breaks=True)) for name in CSV_ENTITIES]
     logs = []
     for source, name, rule, rows in broken:
         named = rows.withColumns({"_source_system": F.lit(source), "__id": F.lit(None).cast("string")})

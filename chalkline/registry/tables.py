@@ -192,7 +192,7 @@ def csv_fields_with_line_breaks(m: Model) -> DataFrame:
     )
     rows.write.option("header", True).option("escape", '"').csv(f"{path}/{CSV_ENTITIES['orgs'].file}")
     remove_at_exit(m.spark, path)
-    return readers.read_csv(m.spark, path, "orgs", b.LOADED_AT).select("sourced_id", "name", "identifier")
+    return readers.read_csv(m.spark, path, "orgs", b.LOADED_AT, line_breaks=True).select("sourced_id", "name", "identifier")
 
 
 def _sources(m: Model, path: str) -> None:

@@ -219,17 +219,19 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return placed.filter(whole).select(*columns).unionByName(joined).unionByName(torn.filter(F.col("__lines") > MOST_LINES).select(*columns))
 
 
-def _csv_rows(spark: SparkSession, path: str) -> DataFrame:
+def _csv_rows(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
     """All columns as strings under the names of the header, and what is wrong with a row in ``MALFORMED``.
 
-    The first file's header names the columns; another file whose header differs, in order too, is an error.  Files in
-    which some line holds an odd number of quotes have line breaks within fields; their records are put together first
+    The first file's header names the columns; another file whose header differs, in order too, is an error.  With
+    ``line_breaks``, files in which some line holds an odd number of quotes have their records put together first
     (``csv_records``).  Which they are is found in the plan, and adaptive execution drops that branch if there are none.
     """
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
     schema = string_schema([*header, MALFORMED])
     reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
     rows = reader.option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+    if not line_breaks:
+        return rows
     lines = _csv_lines(spark, path)
     # a row for each file at most, and the driver lists all files anyway
     broken = F.broadcast(lines.filter(F.col("__quotes") % 2 == 1).select(F.col("__file").alias("__broken")).distinct())
@@ -246,18 +248,19 @@ def _csv_rows(spark: SparkSession, path: str) -> DataFrame:
     return usual.select(*rows.columns).unionByName(parsed)
 
 
-def read_csv(spark: SparkSession, directory: str, name: str, loaded_at: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, directory: str, name: str, loaded_at: str | None = None, line_breaks: bool = False) -> DataFrame:
     """One CSV entity: all strings, columns found by header name, empty fields NULL.
 
-    Rows with too few or too many fields stay, as far as they go; ``read_malformed_csv`` lists them.
+    With ``line_breaks`` quoted fields may hold some, at the price of a look through all lines first; without, they tear
+    a record into rows.  Rows with too few or too many fields stay, as far as they go; ``read_malformed_csv`` lists them.
     """
     entity = CSV_ENTITIES[name]
-    return stamp(select_entity(_csv_rows(spark, f"{directory}/{entity.file}"), entity), CSV_SOURCE, loaded_at)
+    return stamp(select_entity(_csv_rows(spark, f"{directory}/{entity.file}", line_breaks), entity), CSV_SOURCE, loaded_at)
 
 
-def read_malformed_csv(spark: SparkSession, directory: str, name: str) -> DataFrame:
+def read_malformed_csv(spark: SparkSession, directory: str, name: str, line_breaks: bool = False) -> DataFrame:
     """Lines of one CSV entity with too few or too many fields, as ``element``."""
-    rows = _csv_rows(spark, f"{directory}/{CSV_ENTITIES[name].file}")
+    rows = _csv_rows(spark, f"{directory}/{CSV_ENTITIES[name].file}", line_breaks)
     # the parser counts the fields of a line only if all are asked for, so the filter names them all
     any_field = F.length(F.concat_ws("", *(F.col(f"`{c}`") for c in rows.columns if c != MALFORMED))) >= 0
     return rows.where(F.col(MALFORMED).isNotNull() & any_field).select(F.col(MALFORMED).alias("element"))
@@ -280,4 +283,4 @@ def read_all_xml(spark: SparkSession, directory: str, loaded_at: str | None = No
 
 
 def read_all_csv(spark: SparkSession, directory: str, loaded_at: str | None = None) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, directory, name, loaded_at) for name in CSV_ENTITIES}
+    return {name: read_csv(spark, directory, name, loaded_at, line_breaks=True) for name in CSV_ENTITIES}

@@ -241,3 +241,53 @@ def test_latest_per_key_nulls_first(spark, rows):
 def test_parameterised_sql(spark, rows):
     df = spark.createDataFrame([("a", 1), ("b", 5)], "k string, n int")
     assert rows(query(spark, "SELECT k FROM {t} WHERE n > :low", {"low": 2}, t=df)) == [("b",)]
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_fan_out_of_hot_keys(spark, rows, threshold):
+    """Hot keys on either side, NULL keys, keys without a match, copies."""
+    left = [("hot", 1), ("hot", 2), (None, 3), (None, 4), ("none", 5), ("none", 6), ("b", 7), ("b", 7)]
+    right = [("hot", i) for i in range(300)] + [("b", 1), ("b", 1), (None, 2), ("c", 3)]
+    want = sorted([(k, x, v) for k, x in left for q, v in right if k == q] + [(k, x, None) for k, x in left if k not in ("hot", "b")], key=str)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = joins.fan_out(spark.createDataFrame(left, "k string, x int"), spark.createDataFrame(right, "k string, v int"), "k", ["v"])
+        assert sorted((tuple(r) for r in out.collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fan_out_reads_each_side_once(spark):
+    t = {n: spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("customer", "orders")}
+    out = joins.fan_out(t["customer"].select("c_custkey", "c_name"), t["orders"], {"c_custkey": "o_custkey"}, ["o_orderkey", "o_orderdate"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2
+
+
+def test_routed_in_one_pass(spark, tmp_path):
+    rules = [
+        quality.Rule("positive", "Must be positive", "v", "> 0", F.col("v") <= 0),
+        quality.Rule("even", "Must be even", "v", "even", F.col("v") % 2 != 0),
+    ]
+    df = spark.createDataFrame([(i, i - 3, "s") for i in range(10)], "id int, v int, _source_system string")
+    done = quality.routed(df, rules, str(tmp_path / "routed"), F.lit("2026-01-05").cast("timestamp"), "id")
+    assert done.totals == {"ingested": 10, "passed": 3, "quarantined": 7, "failures": 9}
+    assert sorted(r.v for r in done.passed.collect()) == [2, 4, 6]
+    assert done.quarantined.columns == df.columns and done.quarantined.count() == 7
+    assert done.log.count() == 9
+
+
+def test_drilldown_levels_count_entities_once(spark):
+    members = [("s1", "D", "A", 1, "x"), ("s1", "D", "A", 1, "y"), ("s2", "D", "B", 1, "x"), ("s3", None, "B", 2, None), ("s4", "D", "A", 1, "x")]
+    facts = [("s1", 10.0), ("s1", 20.0), ("s2", 40.0), ("s3", 50.0), ("s9", 1.0)]
+    names = "student_id string, district_name string, school_id string, grade_level int, section_id string"
+    out = analytics.drilldown_levels(spark.createDataFrame(facts, "student_id string, max_score_to_date double"), spark.createDataFrame(members, names))
+    got = {(r.level, r.district_name, r.school_id, r.grade_level, r.section_id, r.student_id): (r.students, r.avg_score) for r in out.collect()}
+    assert got["district", "D", None, None, None, None] == (2, 20.0)
+    assert got["district", None, None, None, None, None] == (1, 50.0)
+    assert got["school", "D", "A", None, None, None] == (1, 15.0)
+    assert got["section", None, "B", 2, None, None] == (1, 50.0)
+    assert got["student", None, None, None, None, "s1"] == (1, 15.0)
+    assert len(got) == 2 + 3 + 3 + 4 + 3

@@ -94,3 +94,48 @@ def test_hot_and_usual_path_agree_on_events(spark, rows):
         mastery.running_best(events, ["event_type"], "ts", "value", ["event_id"], hot_rows=n).drop("ts") for n in (10**9, 20)
     ]
     assert rows(outs[0]) == rows(outs[1])
+
+
+def jobs_started(spark, build):
+    """Jobs that run while a plan is built."""
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    df = build()
+    return df, len(set(tracker.getJobIdsForGroup(None)) - before)
+
+
+def test_plans_are_built_without_a_job(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS d", "id AS v")
+    _, jobs = jobs_started(spark, lambda: ordered_scan(df, ["k"], ["d"], SCAN_OF_V, 10))
+    assert jobs == 0
+
+
+SCAN_OF_V = Scan(running_max={"best": "v"}, running_count="n")
+
+
+def test_carrying_is_dropped_where_no_group_is_hot(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "ts", "event_id", "value")
+    out = ordered_scan(df, ["user_id"], ["ts", "event_id"], Scan(running_max={"best": "value"}))
+    assert out.count() == df.count()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Window") == 1 and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 9])
+def test_ties_fall_alike_whether_sliced_or_not(spark, rows, hot_rows):
+    data = [("k", i // 40, v, 100 * i) for i, v in enumerate(random.Random(2).choices(range(9), k=200))]
+    out = ordered_scan(spark.createDataFrame(data, "k string, d int, v int, id int").repartition(3), ["k"], ["d"], SCAN_OF_V, hot_rows)
+    want, best = [], -1
+    for n, row in enumerate(sorted(data, key=lambda r: (r[1], r[2], r[3])), 1):
+        best = max(best, row[2])
+        want.append((*row, best, n))
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+
+
+def test_running_sums_of_doubles_are_refused(spark):
+    df = spark.createDataFrame([("a", 1, 0.1)], "k string, d int, v double")
+    with pytest.raises(ValueError, match="decimals"):
+        ordered_scan(df, ["k"], ["d"], Scan(running_sum={"total": "v"}))
+    exact = df.withColumn("v", df.v.cast("decimal(9, 2)"))
+    assert ordered_scan(exact, ["k"], ["d"], Scan(running_sum={"total": "v"}), 1).count() == 1

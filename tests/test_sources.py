@@ -199,3 +199,88 @@ def test_torn_csv_rows_are_listed(spark, tmp_path):
     torn = readers.read_malformed_csv(spark, str(tmp_path), "orgs")
     assert torn.count() == 3
     assert sorted(r.element[:2] for r in torn.collect()) == ["O1", "O3", "mo"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "2000" if n.endswith("PartitionBytes") else "100")
+    yield
+    for n, v in zip(names, old, strict=True):
+        spark.conf.set(n, v)
+
+
+def roster(names):
+    quoted = ['"' + n.replace('"', '""') + '"' if any(c in n for c in ',"\n') else n for n in names]
+    return "sourcedId,name,type,identifier,parentSourcedId\n" + "".join(f"o{i},{q},school,{i},d\n" for i, q in enumerate(quoted))
+
+
+def test_csv_fields_may_hold_line_breaks(spark, tmp_path, small_splits):
+    names = [("Hill\n\"north\"\n\nend, of it" if i % 7 == 0 else "a, b" if i % 5 == 0 else "x") + str(i) for i in range(1200)]
+    (tmp_path / "orgs.csv").mkdir()
+    (tmp_path / "orgs.csv" / "a.csv").write_text(roster(names))
+    (tmp_path / "orgs.csv" / "b.csv").write_text(roster(["plain"] * 50))  # has no breaks, so is read as it is
+    df = readers.read_csv(spark, str(tmp_path), "orgs", line_breaks=True)
+    assert sorted(r["name"] for r in df.collect()) == sorted(names + ["plain"] * 50)
+    assert len({p for p, in spark.read.text(str(tmp_path / "orgs.csv")).selectExpr("spark_partition_id()").distinct().collect()}) > 5
+    assert readers.read_malformed_csv(spark, str(tmp_path), "orgs", line_breaks=True).count() == 0
+
+
+def test_csv_quote_that_is_never_closed(spark, tmp_path, monkeypatch, small_splits):
+    monkeypatch.setattr(readers, "MOST_LINES", 20)
+    lines = roster(["x"] * 300).splitlines()
+    lines[100] = 'o99,"torn,school,99,d'
+    (tmp_path / "orgs.csv").write_text("\n".join(lines) + "\n")
+    df = readers.read_csv(spark, str(tmp_path), "orgs", line_breaks=True)
+    ids = {r.sourced_id for r in df.collect()}
+    assert {f"o{i}" for i in range(300)} - ids <= {"o99"}
+    assert readers.read_malformed_csv(spark, str(tmp_path), "orgs", line_breaks=True).count() == 1
+
+
+def test_headers_of_files_with_line_breaks_are_checked(spark, tmp_path):
+    (tmp_path / "orgs.csv").mkdir()
+    (tmp_path / "orgs.csv" / "a.csv").write_text(roster(["x"]))
+    (tmp_path / "orgs.csv" / "b.csv").write_text(roster(["y\ny"]).replace("sourcedId,name", "name,sourcedId"))
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), "orgs", line_breaks=True).collect()
+
+
+def test_elements_with_attributes_are_read_by_many_tasks(spark, tmp_path, small_splits):
+    body = "".join(
+        f'<LearningStandard id="{i}"><StandardCode>C{i}</StandardCode></LearningStandard>\n'
+        + ('<LearningStandard id="e"/><LearningStandard/>' if i % 9 == 0 else "")
+        + ("<LearningStandard>\n<StandardCode>P</StandardCode></LearningStandard>" if i % 13 == 0 else "")
+        + ("<LearningStandard\nk='1'><StandardCode>N</StandardCode></LearningStandard>" if i % 19 == 0 else "")
+        for i in range(600)
+    )
+    whole = k12_files.interchange("X", body)
+    for text in (whole, whole[:20_000], "<X><LearningStandard a='1'><StandardCode>u<LearningStandard b='2'><StandardCode>v</StandardCode></LearningStandard></X>"):
+        (tmp_path / "LearningStandards.xml").write_text(text)
+        plain, split = (readers.read_xml(spark, str(tmp_path), "standards", attributes=a) for a in (False, True))
+        codes = [sorted(str(r.standard_code) for r in df.collect()) for df in (plain, split)]
+        assert codes[0] == codes[1]
+    (tmp_path / "LearningStandards.xml").write_text(whole)
+    filled = [n for n in readers.read_xml(spark, str(tmp_path), "standards", attributes=True).rdd.glom().map(len).collect() if n]
+    assert len(filled) > 10
+
+
+def test_a_failed_write_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_parquet(spark.range(5), path)
+    broken = spark.range(100).selectExpr("CASE WHEN id = 77 THEN raise_error('half way') ELSE id END AS id").repartition(4)
+    with pytest.raises(Exception, match="half way"):
+        sinks.write_parquet(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_write_may_read_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    once = sinks.write_parquet(spark.range(5), path)
+    twice = sinks.write_parquet(once.union(once), path)
+    assert twice.count() == 10
+    assert sinks.publish(spark.range(3), "swapped", "swap_test").count() == 3
+    assert sinks.publish(spark.table("swap_test.swapped").union(spark.range(4)), "swapped", "swap_test").count() == 7
+    spark.sql("DROP DATABASE swap_test CASCADE")

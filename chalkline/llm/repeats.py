@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chalkline.llm import words
@@ -39,7 +39,7 @@ _ROWS = 40
 
 def reach(length: int) -> int:
     """Places among which a string's trigger is sought: the bytes behind the last of them still tell phrases apart."""
-    return min(length * 16 // 25, length - TRIGGER + 1)
+    return min(length * 3 // 4, length - TRIGGER + 1)
 
 
 def _rolled(body: np.ndarray) -> np.ndarray:
@@ -115,28 +115,33 @@ def _parsed(length: int):
                     rows = pa.array(text + low)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).take(rows), batch.column(1).take(rows), pa.array((trigger - bounds[text]).astype(np.int32)),
-                            pa.array((trigger - first).astype(np.int16)), pa.array((trigger - last).astype(np.int16)),
+                            batch.column(0).take(rows), batch.column(1).take(rows),
+                            pa.array((trigger - bounds[text]) << 32 | (trigger - first) << 16 | (trigger - last)),
                             pa.array(key), pa.array(a), pa.array((b >> 32).astype(np.int32)),
                         ],
-                        ["doc_id", "row", "at", "back", "fore", "key", "a", "b"],
+                        ["doc_id", "row", "place", "key", "a", "b"],
                     )
 
     return run
 
 
+# A phrase's place in its text is one long: the trigger, and how far before it its strings begin, at most and at least.
+_AT, _BACK, _FORE = (lambda place: F.shiftright(place, 32), lambda place: F.shiftright(place, 16).bitwiseAND(0xFFFF), lambda place: F.col(place).bitwiseAND(0xFFFF))
+
+
 def _contexts(length: int):
-    """For each wanted phrase (entry, at, back) of a text: the bytes before the trigger, last first, and those from it on."""
+    """For each wanted phrase of a text: the bytes before the trigger, last first, and those from it on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             entry, tail, head = [], [], []
-            for wanted, text in zip(batch.column(0), batch.column(1), strict=True):
+            for entries, places, text in zip(*(batch.column(c) for c in range(3)), strict=True):
                 body = text.as_py().encode()
-                for x in wanted.as_py():
-                    entry.append(x["entry"])
-                    tail.append(body[x["at"] - x["back"] : x["at"]][::-1])
-                    head.append(body[x["at"] : x["at"] + length])
+                entry += entries.as_py()
+                for place in places.as_py():
+                    at, back = place >> 32, place >> 16 & 0xFFFF
+                    tail.append(body[at - back : at][::-1])
+                    head.append(body[at : at + length])
             yield pa.RecordBatch.from_arrays([pa.array(entry, pa.int64()), pa.array(tail, pa.binary()), pa.array(head, pa.binary())], ["entry", "tail", "head"])
 
     return run
@@ -258,63 +263,74 @@ def _named(depths, names, wanted: np.ndarray, joined: dict[int, list[tuple[int,
 
 
 def _placed(length: int, of_tails, of_heads):
-    """A row for each string of an entry that may have an equal one: how far its start lies before the trigger, and the
-    intervals of its tail and head."""
+    """Strings of an entry that may have equal ones: how far their starts lie before the trigger, from ``low`` to ``high``,
+    a row for each stretch in one interval of tails and one of heads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for r in batch.to_pylist():
                 before = np.arange(max(r["fore"], length - r["head_near"]), min(r["back"], r["tail_near"]) + 1)
-                if len(before):
-                    out[0].append(np.full(len(before), r["entry"]))
-                    out[1].append(before)
-                    out[2].append(_named(r["tail_depths"], r["tail_names"], before, of_tails))
-                    out[3].append(_named(r["head_depths"], r["head_names"], length - before, of_heads))
-                    out[4].append(np.full(len(before), r["times"]))
-            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["entry", "before", "tail", "head", "times"])
+                if not len(before):
+                    continue
+                tail = _named(r["tail_depths"], r["tail_names"], before, of_tails)
+                head = _named(r["head_depths"], r["head_names"], length - before, of_heads)
+                cut = np.flatnonzero(np.r_[True, (tail[1:] != tail[:-1]) | (head[1:] != head[:-1])])
+                columns = [tail[cut], head[cut], before[cut], before[np.r_[cut[1:], len(before)] - 1]]
+                for held, more in zip(out, [*(c.tolist() for c in columns), [r["entry"]] * len(cut), [r["times"]] * len(cut)], strict=True):
+                    held += more
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["tail", "head", "low", "high", "entry", "times"])
 
     return run
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Rows of a written table, broadcast only if they are counted to be few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _key(column: str, side: str) -> list[Column]:
+    """128 bits in place of a string."""
+    return [F.xxhash64(column).alias(f"{side}_a"), F.xxhash64(F.lit(1), column).alias(f"{side}_b")]
 
 
-def _kept(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            body, offsets = words.buffers(batch.column(1))
-            sizes, starts, ends, counts, kept = [], [], [], [], []
-            for k, spans in enumerate(batch.column(2)):
-                text = body[offsets[k] : offsets[k + 1]]
-                sizes.append(len(text))
-                if not spans.is_valid:
-                    counts.append(0)
-                    kept.append(text.tobytes())
-                    continue
-                low, high = (spans.values.field(c).to_numpy() for c in ("low", "high"))
-                depth = np.zeros(len(text) + 1, dtype=np.int64)
-                np.add.at(depth, low, 1)
-                np.add.at(depth, high, -1)
-                gone = np.cumsum(depth) > 0
-                edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0))
-                starts.append(edge[::2])
-                ends.append(edge[1::2])
-                counts.append(len(edge) // 2)
-                kept.append(text[~gone[:-1]].tobytes())
-            spans = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64)) for x in (starts, ends)], ["start", "end"]
-            )
-            at = pa.array(words.segments(np.array(counts, dtype=np.int64)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(at, spans), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "removed", "kept"],
-            )
+def _few(df: DataFrame, lists: str | None = None) -> DataFrame:
+    """A written table, broadcast only if its rows, and what its lists hold, are counted to be few."""
+    rows, held = df.agg(F.count("*"), F.sum(F.size(lists)) if lists else F.lit(0)).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (held or 0) <= 8 * BROADCAST_ROWS else df
 
-    return run
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Starts and ends of the longest runs that the spans of each text cover."""
+    for batch in batches:
+        starts, ends, counts = [], [], []
+        for spans in batch.column(2):
+            span = np.sort(spans.values.to_numpy())
+            low, high = span >> 32, np.maximum.accumulate(span & 0xFFFFFFFF)
+            cut = np.flatnonzero(low[1:] > high[:-1])
+            starts.append(low[np.r_[0, cut + 1]])
+            ends.append(high[np.r_[cut, len(span) - 1]])
+            counts.append(len(cut) + 1)
+        columns = [words.packed(np.concatenate(x) if x else np.zeros(0, np.int64), np.array(counts, dtype=np.int64), pa.int64()) for x in (starts, ends)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["of_doc", "of_row", "starts", "ends"])
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        body, offsets = words.buffers(batch.column(1))
+        sizes, starts, ends, counts, kept = [], [], [], [], []
+        for k, (low, high) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            text = body[offsets[k] : offsets[k + 1]]
+            low, high = (x.values.to_numpy() if x.is_valid else np.zeros(0, np.int64) for x in (low, high))
+            gone = np.zeros(len(text) + 1, dtype=np.int8)
+            gone[low] += 1
+            gone[high] -= 1
+            sizes.append(len(text))
+            starts.append(low)
+            ends.append(high)
+            counts.append(len(low))
+            kept.append(text[np.cumsum(gone[:-1], dtype=np.int8) == 0].tobytes())
+        spans = pa.StructArray.from_arrays([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64)) for x in (starts, ends)], ["start", "end"])
+        at = pa.array(words.segments(np.array(counts, dtype=np.int64)).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(at, spans), pa.array(kept, pa.binary())],
+            ["doc_id", "n_bytes", "removed", "kept"],
+        )
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -333,59 +349,74 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError(f"strings of {2 * TRIGGER} bytes at least")
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
-    parse = materialized(
-        rows.mapInArrow(_parsed(length), f"doc_id {kind}, row long, at int, back short, fore short, key long, a long, b int"), "parse"
-    )
+    # made twice rather than written: it is as large as the texts
+    parse = rows.mapInArrow(_parsed(length), f"doc_id {kind}, row long, place long, key long, a long, b int")
     # the dictionary: distinct phrases, counted before the shuffle
     dictionary = materialized(
-        parse.groupBy("key", "a", "b").agg(
-            F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("doc_id", "row", "at", "back", "fore"))
-        ),
-        "dictionary",
-    )
+        parse.groupBy("key", "a", "b").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("doc_id", "row", "place"))), "dictionary"
+    )
     keys = dictionary.groupBy("key").agg(F.sum("times").alias("all"), F.count_if(F.col("times") == 1).alias("alone"))
     open_keys = materialized(keys.where("`all` > 1 and alone > 0").select("key"), "open-keys")
     entries = materialized(
-        dictionary.join(_few(open_keys), "key").select(
-            F.monotonically_increasing_id().alias("entry"), "times", "doc_id", "row", "at", "back", "fore"
-        ),
+        dictionary.join(_few(open_keys), "key")
+        .select(F.monotonically_increasing_id().alias("entry"), "times", "doc_id", "row", "place"),
         "entries",
-    )
-    spans = _edge_spans(rows, entries, length).unionByName(
-        parse.join(_few(dictionary.where("times > 1").select("key", "a", "b")), ["key", "a", "b"])
-        .select("doc_id", "row", (F.col("at") - F.col("back")).alias("low"), (F.col("at") - F.col("fore") + length).alias("high"))
     )
+    repeated = parse.join(dictionary.where("times > 1").select("key", "a", "b"), ["key", "a", "b"]).select(
+        "doc_id", "row", (_AT("place") - _BACK("place")).alias("low"), (_AT("place") - _FORE("place") + length).alias("high")
+    )
+    spans = _edge_spans(rows, entries, length).unionByName(repeated)
     listed = materialized(
-        spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans"
-    ).withColumnsRenamed({"doc_id": "of_doc", "row": "of_row"})
+        spans.select("doc_id", "row", (F.shiftleft("low", 32) + F.col("high")).alias("span"))
+        .groupBy("doc_id", "row").agg(F.collect_list("span").alias("spans"))
+        .mapInArrow(_merged, f"of_doc {kind}, of_row long, starts array<long>, ends array<long>"),
+        "spans",
+    )
     met = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row") == F.col("of_row"))
-    return rows.join(_few(listed), met, "left").select("doc_id", "text", "spans").mapInArrow(
-        _kept(length), f"doc_id {kind}, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
+    return rows.join(_few(listed, "starts"), met, "left").select("doc_id", "text", "starts", "ends").mapInArrow(
+        _kept, f"doc_id {kind}, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
     )
 
 
 def _edge_spans(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
     """Repeated strings of phrases that occur once: ``doc_id``, ``row``, ``low``, ``high``."""
+    both = entries.groupBy("doc_id", "row").agg(F.collect_list(F.struct("entry", "place")).alias("wanted"))
     wanted = materialized(
-        entries.groupBy("doc_id", "row").agg(F.collect_list(F.struct("entry", "at", "back")).alias("wanted")), "wanted"
-    ).withColumnsRenamed({"doc_id": "of_doc", "row": "of_row"})
+        both.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), F.col("wanted.entry").alias("entries"), F.col("wanted.place").alias("places")),
+        "wanted",
+    )
     met = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row") == F.col("of_row"))
     contexts = materialized(
-        rows.join(_few(wanted), met).select("wanted", "text").mapInArrow(_contexts(length), "entry long, tail binary, head binary"),
+        rows.join(_few(wanted, "places"), met).select("entries", "places", "text")
+        .mapInArrow(_contexts(length), "entry long, tail binary, head binary"),
         "contexts",
-    )
+    )
     tails, of_tails = suffix_array(contexts.select("tail"), "tails")
     heads, of_heads = suffix_array(contexts.select("head"), "heads")
-    strings = materialized(
-        contexts.join(tails.select(F.col("string").alias("tail"), *(F.col(c).alias(f"tail_{c}") for c in ("depths", "names", "near"))), "tail")
-        .join(heads.select(F.col("string").alias("head"), *(F.col(c).alias(f"head_{c}") for c in ("depths", "names", "near"))), "head")
-        .drop("tail", "head").join(entries.select("entry", "times", "back", "fore"), "entry")
-        .mapInArrow(_placed(length, of_tails, of_heads), "entry long, before long, tail long, head long, times long"),
+
+    def named(table: DataFrame, side: str) -> DataFrame:
+        return table.select(*_key("string", side), *(F.col(c).alias(f"{side}_{c}") for c in ("depths", "names", "near")))
+
+    keyed = contexts.select("entry", *_key("tail", "tail"), *_key("head", "head"))
+    stretches = materialized(
+        keyed.join(named(tails, "tail"), ["tail_a", "tail_b"]).join(named(heads, "head"), ["head_a", "head_b"])
+        .join(entries.select("entry", "times", _BACK("place").alias("back"), _FORE("place").alias("fore")), "entry")
+        .mapInArrow(_placed(length, of_tails, of_heads), "tail long, head long, low long, high long, entry long, times long"),
         "edge-strings",
     )
-    classes = ["before", "tail", "head"]
-    again = strings.groupBy(*classes).agg(F.sum("times").alias("n")).where("n > 1").select(*classes)
-    found = strings.where("times = 1").join(again, classes).select("entry", "before")
-    return found.join(entries.select("entry", "doc_id", "row", "at"), "entry").select(
-        "doc_id", "row", (F.col("at") - F.col("before")).cast("int").alias("low"), (F.col("at") - F.col("before") + length).cast("int").alias("high")
+    # how many strings lie in a pair of intervals, by their distance from the trigger: a few dozen rows for each pair
+    pair = ["tail", "head"]
+    ends = F.array(F.struct(F.col("low").alias("at"), F.col("times").alias("n")), F.struct((F.col("high") + 1).alias("at"), (-F.col("times")).alias("n")))
+    steps = stretches.select(*pair, F.inline(ends)).groupBy(*pair, "at").agg(F.sum("n").alias("n"))
+    along = Window.partitionBy(*pair).orderBy("at")
+    again = (
+        steps.select(*pair, "at", F.lead("at").over(along).alias("until"), F.sum("n").over(along).alias("n")).where("n > 1")
+        .groupBy(*pair).agg(F.collect_list(F.struct("at", "until")).alias("again"))
+    )
+    found = (
+        stretches.where("times = 1").join(again, pair).select("entry", "low", "high", F.inline("again"))
+        .select("entry", F.greatest("low", "at").alias("low"), F.least("high", F.col("until") - 1).alias("high")).where("low <= high")
+    )
+    return found.join(entries.select("entry", "doc_id", "row", _AT("place").alias("at")), "entry").select(
+        "doc_id", "row", (F.col("at") - F.col("high")).alias("low"), (F.col("at") - F.col("low") + length).alias("high")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chalkline.llm import words
-from chalkline.llm.links import linked, shared_buckets, within
+from chalkline.llm.links import ArrayContents, linked, shared_buckets, within
 from chalkline.session import materialized
 
 # Characters in a shingle; similarity of two lines that count as one, in percent.
@@ -26,6 +26,9 @@ _OTHER[65:91] = _OTHER[97:123]
 _FACTORS = words.odd_constants(43, BANDS * ROWS).astype(np.uint32) | np.uint32(1)
 _STEPS = words.odd_constants(47, 4).astype(np.uint32) | np.uint32(1)
 _BAND_FACTORS = words.odd_constants(53, ROWS)
+_WIDE = words.odd_constants(59, 4)
+# Lines whose bands a task remembers to have given out.
+_KNOWN = 1 << 20
 
 
 def _spans(newlines: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,12 +101,23 @@ def _groups(batch: pa.RecordBatch):
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with their keys; the bands of a line come with its first occurrence in the task, and are null later."""
     names = ["doc_id", "row", "line_no", "key_a", "key_b", *(f"band_{k}" for k in range(BANDS))]
+    known: set[tuple[int, int]] = set()
     for batch in batches:
         for low, text, number, keys, values, counts in _groups(batch):
+            fresh = np.zeros(len(text), dtype=bool)
+            for k, key in enumerate(zip(keys[0].tolist(), keys[1].tolist(), strict=True)):
+                if key not in known:
+                    known.add(key)
+                    fresh[k] = True
+            if len(known) > _KNOWN:
+                known.clear()
             rows = batch.select(["doc_id", "row"]).take(pa.array(text + low))
-            found = np.ascontiguousarray(bands(values, counts).T)
-            columns = [rows.column(0), rows.column(1), pa.array(number), *(pa.array(k.view(np.int64)) for k in keys), *map(pa.array, found)]
+            found = bands(values[np.repeat(fresh, counts)], counts[fresh])
+            place = pa.array(np.cumsum(fresh) - 1, mask=~fresh)
+            columns = [rows.column(0), rows.column(1), pa.array(number), *(pa.array(k.view(np.int64)) for k in keys)]
+            columns += [pa.array(np.ascontiguousarray(band)).take(place) for band in found.T]
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -130,22 +144,6 @@ def shingle_set(line: str) -> frozenset[str]:
     return frozenset([line[k : k + WIDTH] for k in range(max(1, len(line) - WIDTH + 1))])
 
 
-def apart(a: str, b: str, percent: int) -> bool:
-    """Whether a third of b's shingles shows already that the lines are not similar.
-
-    Similar lines share ``percent`` of b's distinct shingles at least, so at most the rest can be missing in a.
-    """
-    places = len(b) - WIDTH + 1
-    missing: set[str] = set()
-    for k in range(0, places, 3):
-        shingle = b[k : k + WIDTH]
-        if shingle not in a:
-            missing.add(shingle)
-            if len(missing) * 100 > places * (100 - percent):
-                return True
-    return False
-
-
 def similar(a: frozenset, b: frozenset, percent: int) -> bool:
     if min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
         return False
@@ -153,28 +151,63 @@ def similar(a: frozenset, b: frozenset, percent: int) -> bool:
     return both * 100 >= (len(a) + len(b) - both) * percent
 
 
-class LineContents:
-    """Lower-cased lines of a cell; their sets are made when first needed."""
+def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of lower-cased lines, with repeats, and their number by line."""
+    body, offsets = words.buffers(column)
+    characters = np.frombuffer(body.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+    begun = np.zeros(len(body) + 1, dtype=np.int64)
+    np.cumsum((body & 0xC0) != 0x80, out=begun[1:])
+    at = begun[offsets]
+    sizes = np.diff(at)
+    g = (characters.astype(np.uint64) + np.uint64(1)) * _WIDE[0]
+    for step, shift in zip(_WIDE[1:], (1, 2, 4), strict=True):
+        g[:-shift] += g[shift:] * step
+        g ^= g >> np.uint64(31)
+    counts = np.maximum(sizes - (WIDTH - 1), 1)
+    first = np.repeat(at[:-1], counts)
+    place = first + np.arange(len(first)) - np.repeat(words.segments(counts)[:-1], counts)
+    long = np.repeat(sizes >= WIDTH, counts)
+    out = np.empty(len(place), dtype=np.uint64)
+    out[long] = words.mixed(g[place[long]])
+    short = sizes < WIDTH
+    out[~long] = words._span_hashes(body, offsets[:-1][short], offsets[1:][short], _OTHER)
+    return out, counts
+
+
+class LineContents(ArrayContents):
+    """Lower-cased lines of a cell, as sets of 64-bit shingle hashes."""
 
     def __init__(self, column: pa.Array):
-        self.column = column
-        self.lines: list[str] | None = None
-        self.sets: dict[int, frozenset] = {}
+        self.flat, self.sizes = words.distinct(*shingles(column))
+        self.bits: np.ndarray | None = None
+
 
-    def may_fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
-        return np.ones(len(rest), dtype=bool)
+# Bits of a hash that fit beside the number of a pair in a batch.
+_PAIR = 44
 
-    def of(self, i: int) -> frozenset:
-        if i not in self.sets:
-            self.sets[i] = shingle_set(self.lines[i])
-        return self.sets[i]
 
-    def fit(self, i: int, rest: np.ndarray, percent: int) -> np.ndarray:
-        if self.lines is None:
-            self.lines = self.column.to_pylist()
-        line = self.lines[i]
-        near = (j for j in rest.tolist() if not apart(line, self.lines[j], percent))
-        return np.array([j for j in near if similar(self.of(i), self.of(j), percent)], dtype=np.int64)
+def fitting(a: pa.Array, b: pa.Array, percent: int) -> np.ndarray:
+    """Whether the lines of each pair are similar, all pairs at once.
+
+    Sets are sorted runs of (pair, some bits of the hash) in one array for each side. Bits that are equal by chance could
+    only tip a pair that is one shingle off the threshold, so those are held against each other as texts.
+    """
+    keys, sizes = [], []
+    for column in (a, b):
+        hashes, counts = shingles(column)
+        pair = np.repeat(np.arange(len(counts), dtype=np.uint64), counts) << np.uint64(_PAIR)
+        held = np.sort(pair | (hashes >> np.uint64(64 - _PAIR)))
+        held = held[np.r_[True, held[1:] != held[:-1]]] if len(held) else held
+        keys.append(held)
+        sizes.append(np.bincount((held >> np.uint64(_PAIR)).astype(np.int64), minlength=len(counts)))
+    merged = np.sort(np.concatenate(keys))
+    again = merged[:-1][merged[1:] == merged[:-1]]
+    both = np.bincount((again >> np.uint64(_PAIR)).astype(np.int64), minlength=len(a))
+    over = both * 100 - (sizes[0] + sizes[1] - both) * percent
+    out = over >= 0
+    for k in np.flatnonzero(np.abs(over) <= 100 + percent).tolist():
+        out[k] = similar(shingle_set(a[k].as_py()), shingle_set(b[k].as_py()), percent)
+    return out
 
 
 def lines_fit(percent: int):
@@ -182,8 +215,11 @@ def lines_fit(percent: int):
 
     @F.arrow_udf("boolean")
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-        return pa.array([not apart(x, y, percent) and similar(shingle_set(x), shingle_set(y), percent) for x, y in pairs], type=pa.bool_())
+        cuts = [0]
+        for low, high in words.row_groups(words.buffers(a)[1] + words.buffers(b)[1], _GROUP):
+            cuts.append(high)
+        found = [fitting(a.slice(low, high - low), b.slice(low, high - low), percent) for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.array(np.concatenate([*found, np.zeros(0, dtype=bool)]), pa.bool_())
 
     return lambda a, b: run(a, b)
 
@@ -216,7 +252,7 @@ def fuzzy_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     lines = materialized(rows.mapInArrow(_hashed, schema), "lines")
     nodes = materialized(
         lines.groupBy("key_a", "key_b")
-        .agg(F.count("*").alias("times"), F.min("row").alias("row"), *(F.first(n).alias(n) for n in names))
+        .agg(F.count("*").alias("times"), F.min("row").alias("row"), *(F.max(n).alias(n) for n in names))
         .withColumn("node", F.monotonically_increasing_id()),
         "line-nodes",
     )
@@ -271,16 +307,15 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     stands in other documents. Documents without any line (null or blank text) stay. Columns may have any names.
     """
     dropped = (
-        fuzzy_lines(docs, doc_id, text, percent).groupBy("row")
-        .agg(F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias("gone"), F.max(F.col("kept").cast("int")).alias("some"))
-        .where(F.size("gone") > 0)
-        .select(F.col("row").alias("__row"), F.col("gone").alias("__gone"), F.col("some").alias("__some"))
+        fuzzy_lines(docs, doc_id, text, percent).groupBy("doc_id", "row")
+        .agg(F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias("__gone"), F.max(F.col("kept").cast("int")).alias("__some"))
+        .where(F.size("__gone") > 0)
+        .select(F.col("doc_id").alias("__doc"), F.col("row").alias("__of"), "__gone", "__some")
     )
-    left = F.filter(F.split(text, "\n", -1), lambda _, k: ~F.array_contains("__gone", k.cast("long")))
-    return (
-        docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
-        .join(dropped, "__row", "left")
-        .where("__some is null or __some = 1")
-        .withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-        .select(*docs.columns)
-    )
+    # by id and hash: the hash alone would meet by chance among very many documents
+    same = (F.col("__row") == F.col("__of")) & F.col(doc_id).eqNullSafe(F.col("__doc"))
+    met = docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text))).join(dropped, same, "left").where("__some is null or __some = 1")
+    met = met.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(text, "\n", -1)))
+    stay = F.array_except(F.sequence(F.lit(0).cast("long"), F.size("__lines") - F.lit(1).cast("long")), F.col("__gone"))
+    left = F.array_join(F.transform(stay, lambda k: F.get("__lines", k.cast("int"))), "\n")
+    return met.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)

@@ -138,10 +138,11 @@ def scored(weights, text: str, bits: int = BITS) -> Column:
         for batch in batches:
             out = []
             for places, counts in _texts(batch, bits):
-                total = np.zeros(len(places) + 1)
-                np.cumsum(w[places], out=total[1:])
-                at = words.segments(counts)
-                out.append((total[at[1:]] - total[at[:-1]]) * (SCALE / np.maximum(1, counts)) + w[-1])
+                total = np.zeros(len(counts))
+                some = counts > 0
+                if some.any():  # each text for itself, so that its score doesn't depend on its neighbours
+                    total[some] = np.add.reduceat(w[places], words.segments(counts)[:-1][some])
+                out.append(total * (SCALE / np.maximum(1, counts)) + w[-1])
             values = np.concatenate(out) if out else np.zeros(0)
             yield pa.array(1.0 / (1.0 + np.exp(-np.clip(values, -35, 35))))
 

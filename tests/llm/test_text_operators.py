@@ -88,6 +88,50 @@ def test_quality_without_labels(spark):
     assert quality.classify(docs.limit(0), none).count() == 0
 
 
+def test_quality_scores_do_not_depend_on_the_batch(spark):
+    """The same text at many places, behind others of many lengths, has one score to the bit."""
+    draw = random.Random(8)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    texts = [" ".join(draw.choice("alpha beta gamma delta, Eps; zeta".split()) for _ in range(draw.randrange(1, 400))) for _ in range(60)]
+    rows = [(k, texts[draw.randrange(60)]) for k in range(900)] + [(k, "long " * 200_000) for k in range(3)]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    got = {}
+    for r in quality.classify(rows, labels).collect():
+        got.setdefault(r.text, set()).add(r.score)
+    assert all(len(scores) == 1 for scores in got.values())
+
+
+def test_quality_learns_like_plain_ftrl():
+    """Updates and the dot product, feature by feature."""
+    draw = random.Random(4)
+    bits, alpha, beta, l1, l2 = 6, 2.0, 1.0, 0.02, 0.02
+    examples, labels = [], []
+    for _ in range(200):
+        places = [draw.randrange(1 << bits) for _ in range(draw.randrange(0, 12))]
+        examples.append(quality._example(quality.np.array(places, dtype=int), bits))
+        labels.append(int(sum(places) % 3 == 0))
+    got = quality.follow_the_leader(examples, quality.np.array(labels), bits)
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(quality.PASSES):
+        for (at, x), label in zip(examples, labels, strict=True):
+            at, x = at.tolist(), x.tolist()
+            w = [weight(i) for i in at]
+            score = 1 / (1 + 2.718281828459045 ** -max(-35, min(35, sum(p * q for p, q in zip(w, x, strict=True)))))
+            for i, value, own in zip(at, x, w, strict=True):
+                g = (score - label) * value
+                before = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / alpha * own
+                n[i] = before + g * g
+    assert [round(float(v), 9) for v in got] == [round(weight(i), 9) for i in range((1 << bits) + 1)]
+
+
 def plain_spans(text):
     text = text or ""
     out = []

@@ -162,9 +162,10 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     The rows that go are broadcast only if counted to be few, else joined by a shuffle of the documents.
     """
-    gone = materialized(near_duplicates(docs, doc_id, text, **options).where("not kept").select(F.col("row").alias("__row")).distinct(), "gone")
+    found = near_duplicates(docs, doc_id, text, **options).where("not kept")
+    gone = materialized(found.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__of")).distinct(), "gone")
     few = gone.count() <= BROADCAST_ROWS
-    return (
-        docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
-        .join(F.broadcast(gone) if few else gone, "__row", "left_anti").select(*docs.columns)
-    )
+    # by id and hash: the hash alone would meet by chance among very many documents
+    same = (F.col("__row") == F.col("__of")) & F.col(doc_id).eqNullSafe(F.col("__doc"))
+    marked = docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
+    return marked.join(F.broadcast(gone) if few else gone, same, "left_anti").select(*docs.columns)

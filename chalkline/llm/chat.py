@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,9 +49,9 @@ def paths(kind: DataType, at: str = "") -> list[str]:
     return [at]
 
 
-def fingerprint(field_paths: list[str]) -> Column:
+def fingerprint(field_paths: list[str]) -> str:
     """Hash of sorted field paths."""
-    return F.sha2(F.lit("\n".join(sorted(field_paths))), 256)
+    return hashlib.sha256("\n".join(sorted(field_paths)).encode()).hexdigest()
 
 
 @dataclass(frozen=True)
@@ -71,13 +72,17 @@ class Mapping:
             return sorted(f"{self.turns[0]}[].{name}" for name in self.turns[1:])
         return sorted(path for _, path in self.fields)
 
+    def listed(self, items: Column) -> Column:
+        """Turns of a list of them."""
+        _, role, text = self.turns
+        return F.transform(items, lambda t: F.struct(self._role(t[role]).alias("role"), _text(t[text]).alias("text")))
+
     def canonical(self, record: Column) -> Column:
         """Turns of a variant column."""
         if self.turns:
             at, role, text = self.turns
             kind = f"array<struct<`{role}`:string,`{text}`:string>>"
-            items = F.coalesce(F.try_variant_get(record, f"$.{at}", kind), F.array().cast(kind))
-            return F.transform(items, lambda t: F.struct(self._role(t[role]).alias("role"), _text(t[text]).alias("text")))
+            return self.listed(F.coalesce(F.try_variant_get(record, f"$.{at}", kind), F.array().cast(kind)))
         turns = F.array(*(
             F.struct(F.lit(role).alias("role"), _text(F.try_variant_get(record, f"$.{path}", "string")).alias("text"))
             for role, path in self.fields
@@ -104,6 +109,7 @@ MAPPINGS = (
     Mapping("short_instruction", (("user", "instruction"), ("assistant", "output"))),
     Mapping("messages", turns=("messages", "role", "content"), roles=SHARED_NAMES),
     Mapping("shared", turns=("conversations", "from", "value"), roles=SHARED_NAMES),
+    Mapping("rows", turns=("turns", "role", "text")),
 )
 # A table with one row per turn; its conversations are gathered first.
 ROW_PATHS = ["conv_id", "role", "text", "turn"]
@@ -167,19 +173,22 @@ def canonical_rows(df: DataFrame) -> DataFrame:
 
     Turns are in order of turn, then role and text; a null turn comes first, null role and text are empty, repeated
     rows are repeated turns, rows with a null conv_id are one conversation. A conversation becomes one value, as its
-    formatted text must; that is the one thing gathered by key here.
+    formatted text must; that is the one thing gathered by key here. The gathered records have a list of turns, whose
+    field paths are hashed to select the mapping, as those of any record. They stay typed, as a variant has a size limit.
     """
     rows = df.select("conv_id", F.struct("turn", _text(F.col("role")).alias("role"), _text(F.col("text")).alias("text")).alias("t"))
-    return rows.groupBy("conv_id").agg(
-        F.transform(F.sort_array(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")
-    )
+    ordered = F.transform(F.sort_array(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    records = rows.groupBy("conv_id").agg(F.struct(ordered.alias("turns")).alias("record"))
+    shape = fingerprint(paths(records.schema["record"].dataType))
+    mapping = next(m for m in MAPPINGS if fingerprint(m.paths()) == shape)
+    return records.select("conv_id", mapping.listed(F.col("record")[mapping.turns[0]]).alias("turns"))
 
 
 def canonical(df: DataFrame, record: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Turns of any supported table: of a record column, by each record's fingerprint, or of the table's own columns.
 
-    Tables with one row per turn are told by their column names, without a fingerprint or a mapping, and may have
-    further columns. Other typed tables must have a mapping's field paths exactly.
+    Tables with one row per turn are told by their columns and may have further ones; their rows are gathered to records
+    first. Other typed tables must have a mapping's field paths exactly.
     """
     if record:
         return canonical_records(df, record, mappings)

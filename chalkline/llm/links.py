@@ -164,13 +164,19 @@ def _compare(cell: pa.RecordBatch, contents, min_hits: int, percent: int) -> tup
     component = cell.column("component").to_numpy().copy()
     own, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
     central = node == cell.column("center")[0].as_py()
+    apart = component[~central]
+    if not len(apart) or (apart == apart[0]).all():  # all but the center, which has been looked at, are connected
+        return [], []
     marks = cell.column("marks").flatten().to_numpy().reshape(len(node), -1)
     places = np.arange(marks.shape[1])
-    held = contents(cell.column("content"))
+    held = None
     out_a, out_b = [], []
     for i in own[~central[own]].tolist():
         rest = other[other > i] if low == high else other
         rest = rest[(component[rest] != component[i]) & ~central[rest]]
+        if not len(rest):
+            continue
+        held = contents(cell.column("content")) if held is None else held
         rest = rest[held.may_fit(i, rest, percent)]
         if not len(rest):
             continue

@@ -302,6 +302,7 @@ def mixing_sql(documents: str) -> str:
     placed as (
         select d.*, epoch, budget, tokens, {place} as place
         from d join {leaf} using (domain, lang, source), range(1, {EPOCHS} + 1) as e(epoch)
+        where tokens > 0
     ),
     summed as (
         select *, sum(n_words) over (partition by domain, lang, source order by epoch, place) as until from placed

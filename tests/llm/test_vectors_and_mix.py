@@ -201,3 +201,10 @@ def test_pipeline(spark):
     assert all(r.decodes and len(r.ids) == 4 * r.n_tokens for r in rows)
     ran = corpus_pipeline.run(spark, SMALL).collect()
     assert sorted((r.doc_id, bytes(r.ids)) for r in ran) == sorted((r.doc_id, bytes(r.ids)) for r in rows)
+
+
+def test_mixing_sql_leaves_out_leaves_without_words():
+    con = duckdb.connect()
+    con.execute("create table documents as select * from (values (1, 'a b c d', 'en', 'x'), (2, 'e f g h', 'en', 'x'), (3, '', 'en', 'void'), (4, null, 'en', 'x')) v(doc_id, text, lang, source)")
+    found = con.execute(queries.mixing_sql("documents")).fetchall()
+    assert found and 3 not in {r[0] for r in found}

@@ -326,14 +326,20 @@ def routed_in_one_pass(m: Model) -> DataFrame:
         m.table["int_enrollments"], k12.enrollment_rules(m.table["dim_school"], m.as_of), path, m.run_ts, "student_id"
     )
     remove_at_exit(m.spark, path)
-    logged = done.log.agg(F.count(F.lit(1)).alias("failures"))
+    none = F.lit(0).cast("long")
+    logged = done.log.agg(
+        F.lit("quarantined").alias("outcome"), none.alias("rows"), none.alias("observed"), F.max(F.lit(None).cast("string")).alias("first_student"),
+        F.count(F.lit(1)).alias("failures"),
+    )
     sides = [
-        df.agg(F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("rows"), F.lit(done.totals[name]).cast("long").alias("observed"), F.min("student_id").alias("first_student"))
+        df.agg(
+            F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("rows"), F.lit(done.totals[name]).cast("long").alias("observed"),
+            F.min("student_id").alias("first_student"), none.alias("failures"),
+        )
         for name, df in (("passed", done.passed), ("quarantined", done.quarantined))
-    ]
-    failures = logged.select(F.lit("quarantined").alias("outcome"), "failures")
-    both = sides[0].unionByName(sides[1]).join(failures, "outcome", "left")
-    return both.withColumn("failures", F.coalesce("failures", F.lit(0).cast("long")))
+    ]
+    both = reduce(DataFrame.unionByName, [*sides, logged])
+    return both.groupBy("outcome").agg(*[F.max(c).alias(c) for c in ("rows", "failures", "observed", "first_student")])
 
 
 @query(

@@ -183,6 +183,10 @@ def _level(name: str, groups: str, prior: str) -> str:
 
 
 _BARE = "regexp_replace(host, ':[0-9]*$', '')"
+_ADDRESS = rf"regexp_full_match({_BARE}, '[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}|\[(?s:.*)\]')"
+_LABELS = f"string_split({_BARE}, '.')"
+# One label more where the last two are a public suffix.
+_SUFFIX_LABELS = f"case when array_to_string({_LABELS}[-2:], '.') in {hosts.SUFFIXES} then 2 else 1 end"
 _RULE_CASES = " ".join(
     f"""when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}|{v}'"""
     for h, p, v in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
@@ -201,7 +205,8 @@ _RULE_CASES = " ".join(
     known as (select doc_id, min(quality) as good from labels where quality in (0, 1) group by doc_id),
     hosts as (
         select host, coalesce(sum(good), 0)::double as good, count(good)::double as total,
-            array_to_string(string_split({_BARE}, '.')[-2:], '.') as domain, string_split({_BARE}, '.')[-1] as suffix
+            case when {_ADDRESS} then {_BARE} else array_to_string({_LABELS}[-1 - ({_SUFFIX_LABELS}):], '.') end as domain,
+            case when {_ADDRESS} then '{hosts.ADDRESS}' else array_to_string({_LABELS}[-({_SUFFIX_LABELS}):], '.') end as suffix
         from parts left join known on doc_id = page_id group by host
     ),
     {_level("s", "select suffix, sum(good) as good, sum(total) as total, (select sum(good) / sum(total) from hosts) as p from hosts group by suffix", "p")},

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -377,3 +378,58 @@ def test_rules_and_odd_urls(spark):
                 if r.rule:
                     assert r.verdict == cases[urls[r.page_id]][3]
     assert hosts.judge(pages.limit(0), labels, queries.RULES).count() == 0
+
+
+def test_suffixes_and_addresses(spark):
+    cases = {
+        "a.b.example.com": ("example.com", "com"),
+        "news.site.co.uk:8080": ("site.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "site.uk": ("site.uk", "uk"),
+        "localhost": ("localhost", "localhost"),
+        "10.1.2.3": ("10.1.2.3", hosts.ADDRESS),
+        "10.1.2.3:80": ("10.1.2.3", hosts.ADDRESS),
+        "[2001:db8::1]:443": ("[2001:db8::1]", hosts.ADDRESS),
+        "1.2.3": ("2.3", "3"),
+        "": ("", ""),
+    }
+    rows = spark.createDataFrame([(h,) for h in cases], "host string")
+    for r in rows.select("host", hosts.registered_domain(F.col("host")).alias("d"), hosts.suffix_of(F.col("host")).alias("s")).collect():
+        assert (r.d, r.s) == cases[r.host], r.host
+    deep = rows.select("host", hosts.registered_domain(F.col("host"), ["example.com", "b.example.com"]).alias("d"))
+    assert {r.host: r.d for r in deep.collect()}["a.b.example.com"] == "a.b.example.com"
+
+
+def test_hosts_of_a_public_suffix_and_addresses_are_judged_apart(spark):
+    """Many bad sites of co.uk, and bad addresses, say little of one good site or address beside them."""
+    bad = [f"http://bad{k}.co.uk/x" for k in range(20)] + [f"http://10.0.{k}.7/x" for k in range(20)]
+    good = ["http://www.fine.co.uk/a", "http://10.9.9.7/a"]
+    urls = [u for u in bad for _ in range(4)] + [u for u in good for _ in range(4)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(u in good)) for k, u in enumerate(urls)], "doc_id long, quality int")
+    verdicts = {r.host: r.verdict for r in hosts.judge(pages, labels, []).collect()}
+    assert verdicts["www.fine.co.uk"] == verdicts["10.9.9.7"] == "allow"
+    assert {verdicts[f"bad{k}.co.uk"] for k in range(20)} == {"block"}
+    sql = queries.ORACLES["op9_hosts"]
+    with duckdb.connect() as db:
+        db.register("p", pages.toPandas())
+        db.register("l", labels.toPandas())
+        db.execute("create view pages as select * from p")
+        db.execute("create view labels as select * from l")
+        told = dict(db.execute(f"select host, verdict from ({sql})").fetchall())
+    want = {r.host: r.verdict for r in hosts.judge(pages, labels, queries.RULES).collect()}
+    assert told == want
+
+
+def test_plan_of_hosts_is_small(spark):
+    judged = queries.QUERIES["op9_hosts"](spark, "/root/testdata/sf0.001")
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("Exchange") < 20, plan
+
+
+def test_very_long_url(spark):
+    url = "http://" + "a." * 50_000 + "com/" + "p/" * 500_000 + "?q"
+    pages = spark.createDataFrame([(1, url)], "page_id long, url string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = hosts.judge(pages, labels, queries.RULES).first()
+    assert got.rule == "com/" and len(got.host) == 100_003 and len(got.path) == 1_000_001

@@ -37,6 +37,9 @@ GOLD = (
     "agg_district_comparison",
 )
 
+# Those with a student_id, by which they are joined and grouped.
+BY_STUDENT = ("dim_student", "fact_student_mastery_daily", "fact_assessment_responses", "fact_attendance_daily", "agg_early_warning")
+
 
 def masked_students(raw: DataFrame) -> DataFrame:
     return hash_pii_columns(raw, ["first_name", "last_name"], "email", "birth_date")
@@ -170,12 +173,17 @@ def run(
     loaded_at: str | None = None,
     database: str | None = None,
 ) -> Frames:
-    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named."""
+    """Bronze to gold.  Published tables go to ``database``, or below ``parquet_output`` when none is named.
+
+    In a database, the tables of ``BY_STUDENT`` are bucketed by student, so that they are joined without an exchange.
+    """
     silver = bronze_to_silver(spark, xml_input, csv_input, parquet_output, loaded_at, run_ts=run_ts)
     seeds = readers.read_seeds(spark, seed_dir)
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        return sinks.publish(df, name, database) if database else sinks.write_parquet(df, f"{parquet_output}/gold/{name}")
+        if database is None:
+            return sinks.write_parquet(df, f"{parquet_output}/gold/{name}")
+        return sinks.publish(df, name, database, by="student_id" if name in BY_STUDENT else None)
 
     return silver_to_gold(silver, seeds, as_of, run_ts, save)
 

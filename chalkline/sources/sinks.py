@@ -10,6 +10,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# A value with more rows than this would make its bucket a task of its own.
+HOT_BUCKET_ROWS = 1_000_000
+
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> DataFrame:
     """Overwrite ``path``, partitioned ``by`` columns, and return a frame that reads it.
@@ -51,25 +54,47 @@ def write_all(tables: dict[str, DataFrame], directory: str, at_once: int = 4) ->
         return {name: job.result() for name, job in jobs.items()}
 
 
-def publish(df: DataFrame, table: str, database: str = "gold") -> DataFrame:
+def publish(df: DataFrame, table: str, database: str = "gold", by: str | None = None, buckets: int | None = None) -> DataFrame:
     """Overwrite a managed table and return a frame that reads it.
 
     Written under another name first, so that a failed run keeps the old table
     and ``df`` may read what it replaces.
+
+    With ``by``, rows are put into ``buckets`` by the hash of that column, each
+    sorted by it: tables with the same number of buckets are joined and grouped
+    on it without an exchange.  A bucket is read by one task, so a table in which
+    one value has more than ``HOT_BUCKET_ROWS`` rows is left without buckets, for
+    adaptive execution to split.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     fresh = f"`{database}`.`{table}_fresh_{uuid.uuid4().hex[:8]}`"
+    plain = f"`{database}`.`{table}_plain_{uuid.uuid4().hex[:8]}`"
     try:
-        df.write.saveAsTable(fresh)
+        if by is None:
+            df.write.saveAsTable(fresh)
+        else:
+            number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # adaptive execution splits large buckets between writers and has one writer make several small ones
+            df.hint("rebalance", number, by).write.bucketBy(number, by).sortBy(by).saveAsTable(fresh)
+            if _largest_group(spark.table(fresh), by) > HOT_BUCKET_ROWS:
+                spark.table(fresh).write.saveAsTable(plain)
+                spark.sql(f"DROP TABLE {fresh}")
+                fresh = plain
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        spark.sql(f"DROP TABLE IF EXISTS {plain}")
         raise
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO `{database}`.`{table}`")
     return spark.table(f"`{database}`.`{table}`")
 
 
+def _largest_group(df: DataFrame, by: str) -> int:
+    """Rows of the most frequent value: one column read, counted within buckets."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Name a lazy frame, so that SQL text can refer to it."""
     df.createOrReplaceTempView(name)

@@ -1,12 +1,14 @@
 """Files to published tables on the hand-written data set."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import k12_files
 from chalkline.operators import analytics, quality
+from chalkline.operators.analytics import row_counts
 from chalkline.plans import checks, k12, pipeline
 from chalkline.plans.staging import stage
 from chalkline.sources import readers
@@ -253,6 +255,19 @@ def test_published_tables_in_a_database(spark, tmp_path):
     )
     names = {r.tableName for r in spark.sql("SHOW TABLES IN gold_test").collect()}
     assert len(names) == 11 and "agg_early_warning" in names
+    facts, students = spark.table("gold_test.fact_student_mastery_daily"), spark.table("gold_test.dim_student")
+    attended = spark.table("gold_test.fact_attendance_daily")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = facts.join(students, "student_id").join(attended.groupBy("student_id").count(), "student_id", "left")
+        assert joined.count() > 0
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    counted = row_counts({n: spark.table(f"gold_test.{n}") for n in sorted(names)})
+    read = re.findall(r"ReadSchema: (\S+)", counted._jdf.queryExecution().executedPlan().toString())
+    assert len(read) == 11 and set(read) == {"struct<>"}
     spark.sql("DROP DATABASE gold_test CASCADE")
 
 

@@ -284,3 +284,19 @@ def test_a_write_may_read_what_it_replaces(spark, tmp_path):
     assert sinks.publish(spark.range(3), "swapped", "swap_test").count() == 3
     assert sinks.publish(spark.table("swap_test.swapped").union(spark.range(4)), "swapped", "swap_test").count() == 7
     spark.sql("DROP DATABASE swap_test CASCADE")
+
+
+def test_buckets_only_where_no_value_is_hot(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("if(id < 400, 7, id) AS k", "id AS v")
+    spread = sinks.publish(rows, "spread", "bucket_test", by="k", buckets=4)
+    assert spread.count() == 1000
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED bucket_test.spread").collect()}
+    assert described["Num Buckets"] == "4" and described["Bucket Columns"] == "[`k`]"
+    monkeypatch.setattr(sinks, "HOT_BUCKET_ROWS", 399)
+    hot = sinks.publish(spark.table("bucket_test.spread"), "spread", "bucket_test", by="k", buckets=4)
+    described = {r.col_name for r in spark.sql("DESCRIBE EXTENDED bucket_test.spread").collect()}
+    assert "Num Buckets" not in described
+    assert sorted(hot.collect()) == sorted(rows.collect())
+    assert sinks.publish(rows.limit(0), "none", "bucket_test", by="k").count() == 0
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN bucket_test").collect()} == {"spread", "none"}
+    spark.sql("DROP DATABASE bucket_test CASCADE")

@@ -124,6 +124,11 @@ def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
     )
 
 
+def number_of(spans: str, kind: int) -> Column:
+    """Spans of one kind in a column of spans. (A second parameter of the lambda would be the span's place.)"""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def listed(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined by start, then kind."""
     names = F.array(*map(F.lit, KINDS))

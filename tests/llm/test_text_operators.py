@@ -209,6 +209,24 @@ def test_listed_spans(spark):
     assert got == "access:0:16,assign:17:39,access:23:39"
 
 
+def test_secret_query_counts_each_kind(spark, tmp_path):
+    """The query's columns, counts by kind above all, where kinds are missing, repeated or mixed."""
+    access, digits = "AKIAABCDEFGHIJKL", "0123456789abcdef" * 2
+    texts = [
+        None, "", "nothing", digits, access, "token=abcdefgh", f"token={digits}", f"{access} {access}", f"{digits} {digits} {digits}",
+        f"token=abcdefgh token=abcdefgh secret=short {digits}", f"{access} token=abcdefgh {digits} token=abcdefgh {access} {digits} {digits}",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.QUERIES["op7_secrets"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = plain_spans(texts[r.doc_id])
+        kinds = [kind for _, kind, _ in base]
+        assert [r.n_assign, r.n_access, r.n_hex] == [kinds.count(k) for k in range(3)], r
+        as_text = ",".join(f"{secrets.KINDS[kind]}:{start}:{end}" for start, kind, end in base)
+        assert r.base_sha256 == hashlib.sha256(as_text.encode()).hexdigest()
+
+
 def test_chat_round_trip(spark):
     draw = random.Random(9)
     parts = [*chat.CONTROL, "\\", "\n", "<", "[", "é", "<\\s>", "[\\\\INST]", "s>", "user", ""]

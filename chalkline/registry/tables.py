@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +148,7 @@ def xml_malformed_elements(m: Model) -> DataFrame:
               min(o_orderkey::varchar) AS least, max(o_orderkey::varchar) AS most, true AS by_many_tasks FROM orders""",
 )
 def xml_elements_with_attributes(m: Model) -> DataFrame:
-    """One file of elements that all carry attributes, read by several tasks."""
+    """One file of elements that all carry attributes, read by several tasks. An empty element's code is its id."""
     path = scratch_path(m.spark, "attributes")
     orders = m.t["orders"]
     content = F.when(
@@ -160,13 +162,14 @@ def xml_elements_with_attributes(m: Model) -> DataFrame:
     before = m.spark.conf.get("spark.sql.files.maxPartitionBytes")
     m.spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(4096, size // 8)))
     try:
-        entity = XML_ENTITIES["standards"]
+        standards = XML_ENTITIES["standards"]
+        entity = replace(standards, fields=standards.fields | {"element_id": "_id"})
         elements = readers.xml_elements(m.spark, path, entity.row_tag, attributes=True)
         rows = readers.parse_elements(elements, entity)
-        tasks = rows.select("standard_code", F.spark_partition_id().alias("task"))
-        code = F.col("standard_code")
+        tasks = rows.select("standard_code", F.coalesce("standard_code", "element_id").alias("code"), F.spark_partition_id().alias("task"))
+        code = F.col("code")
         out = tasks.agg(
-            F.count(F.lit(1)).alias("elements"), (F.count_distinct(code) + F.count_if(code.isNull())).alias("codes"), F.count_if(code.isNull()).alias("empty"),
+            F.count(F.lit(1)).alias("elements"), F.count_distinct(code).alias("codes"), F.count_if(F.col("standard_code").isNull()).alias("empty"),
             F.min(code).alias("least"), F.max(code).alias("most"), (F.count_distinct("task") > 1).alias("by_many_tasks"),
         )
         return materialized(out, "attributes-read")

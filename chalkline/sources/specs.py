@@ -16,7 +16,8 @@ CSV_SOURCE = "oneroster"
 class XmlEntity:
     """One element per row: output column -> path below the row element.
 
-    A path of None is a column the format does not carry.  With ``items`` every
+    A path of None is a column the format does not carry; the attribute ``id``
+    of the row element has the path ``_id``.  With ``items`` every
     repeated child becomes a row and ``item_fields`` are read from the child;
     a column in both falls back to the row element when the child leaves it out.
     """

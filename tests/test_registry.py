@@ -46,3 +46,17 @@ def test_query_agrees_with_sql(spark, con, name):
     got = sorted(tuple(cell(r[c]) for c in order) for r in df.collect())
     want = sorted(tuple(cell(r[names.index(c)]) for c in order) for r in expected.fetchall())
     assert got == want
+
+
+def test_least_and_most_codes_are_those_of_empty_elements(spark, tmp_path):
+    name, path = "xml_elements_with_attributes", str(tmp_path / "orders.parquet")
+    status = "IF(id IN (0, 999) OR id % 7 = 0, 'P', 'O')"
+    spark.range(1000).selectExpr("id + 1000 AS o_orderkey", f"{status} AS o_orderstatus").coalesce(1).write.parquet(path)
+    for other in os.listdir(SF):
+        if other != "orders.parquet":
+            os.symlink(f"{SF}/{other}", tmp_path / other)
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    got = QUERIES[name](spark, str(tmp_path)).first()
+    assert tuple(got) == c.execute(ORACLES[name]).fetchone()
+    assert (got.least, got.most) == ("1000", "1999")

@@ -20,10 +20,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chalkline.llm import words
 from chalkline.session import BROADCAST_ROWS, materialized
 
 # Nodes in one block of a large bucket.
 BLOCK = 512
+# Cells of up to so many rows are compared many at once, in groups of about so many bytes.
+FEW = 64
+GROUP_BYTES = 1 << 20
+# Bits that a set is folded into, and pairs that are looked at together.
+FOLD = 2048
+PAIRS = 1 << 15
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
@@ -107,7 +114,7 @@ def within(df: DataFrame, keys: DataFrame, on: list[str], rows: int) -> DataFram
 
 def shared_buckets(postings: DataFrame) -> DataFrame:
     """Postings ``(mark, value, node)`` whose bucket holds others too, with its ``size`` and ``center``, its least node."""
-    bucket = Window.partitionBy("mark", "value")
+    bucket = Window.partitionBy("value", "mark")  # sorted by the first column, and few values are the same
     return postings.withColumns(
         {"size": F.count("*").over(bucket), "center": F.min("node").over(bucket)}
     ).where("size > 1")
@@ -146,6 +153,30 @@ class ArrayContents:
         both = np.bitwise_count(self.bits[rest] & self.bits[i]).sum(axis=1).astype(np.int64)
         return rest[both * 100 >= (self.sizes[rest] + self.sizes[i] - both) * percent]
 
+    def fit_pairs(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the rows of each pair are similar.
+
+        A row's values are folded into bits first. A bit that one row has and the other has not is a value that is not in
+        both, so most pairs are ruled out by counts of bits; the others are held against each other value by value.
+        """
+        starts = words.segments(self.sizes)
+        folded = np.zeros((len(self.sizes), FOLD), dtype=bool)
+        folded[np.repeat(np.arange(len(self.sizes)), self.sizes), self.flat.view(np.uint64) % np.uint64(FOLD)] = True
+        folded = np.packbits(folded, axis=1).view(np.uint64)
+        # values that fell on a bit that another one has
+        hidden = self.sizes - np.bitwise_count(folded).sum(axis=1).astype(np.int64)
+        out = np.zeros(len(a), dtype=bool)
+        for first in range(0, len(a), PAIRS):
+            x, y = a[first : first + PAIRS], b[first : first + PAIRS]
+            both = np.bitwise_count(folded[x] & folded[y]).sum(axis=1).astype(np.int64) + np.minimum(hidden[x], hidden[y])
+            may = np.flatnonzero(both * 100 >= (self.sizes[x] + self.sizes[y] - both) * percent)
+            for k in may.tolist():
+                i, j = x[k], y[k]
+                values = np.sort(np.concatenate([self.flat[starts[i] : starts[i + 1]], self.flat[starts[j] : starts[j + 1]]]))
+                same = int((values[1:] == values[:-1]).sum())
+                out[first + k] = same * 100 >= (len(values) - same) * percent
+        return out
+
     def _bits(self) -> np.ndarray:
         """Rows of bits over the values that two rows at least hold."""
         _, place, times = np.unique(self.flat, return_inverse=True, return_counts=True)
@@ -193,34 +224,64 @@ def _compare(cell: pa.RecordBatch, contents, min_hits: int, percent: int) -> tup
     return out_a, out_b
 
 
+def _compare_few(rows: pa.RecordBatch, cell: np.ndarray, contents, min_hits: int, percent: int) -> tuple[list[int], list[int]]:
+    """A forest of the links in several small cells, whose pairs are all listed; ``cell`` has a row's cell, in order."""
+    node, component, block, posted, here = (rows.column(c).to_numpy() for c in ("node", "component", "block", "posted", "mark"))
+    behind = np.searchsorted(cell, cell, side="right") - 1 - np.arange(len(cell))
+    a = np.repeat(np.arange(len(cell)), behind)
+    b = a + 1 + np.arange(len(a)) - np.repeat(words.segments(behind)[:-1], behind)
+    central = node == rows.column("center").to_numpy()
+    one_block = rows.column("low").to_numpy() == rows.column("high").to_numpy()
+    open_pair = (component[a] != component[b]) & ~central[a] & ~central[b] & (one_block[a] | (block[a] != block[b]))
+    a, b = a[open_pair], b[open_pair]
+    if not len(a):
+        return [], []
+    marks = rows.column("marks").flatten().to_numpy().reshape(len(node), -1)
+    equal = marks[a] == marks[b]
+    # a pair is looked at in the first bucket that both are posted to
+    shared = equal & (((posted[a] & posted[b])[:, None] >> np.arange(marks.shape[1])) & 1).astype(bool)
+    wanted = (equal.sum(axis=1) >= min_hits) & (shared.argmax(axis=1) == here[a])
+    a, b = a[wanted], b[wanted]
+    if not len(a):
+        return [], []
+    both = np.concatenate([a, b])
+    _, first, place = np.unique(node[both], return_index=True, return_inverse=True)
+    held = contents(rows.column("content").take(pa.array(both[first])))
+    fit = held.fit_pairs(place[: len(a)], place[len(a) :], percent)
+    above = forest(node[a[fit]], node[b[fit]])
+    return list(above.keys()), list(above.values())
+
+
 CELL_KEYS = ["mark", "value", "low", "high"]
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The cells of a partition that is sorted by cell; one cell at a time is held back."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Whole cells of a partition that is sorted by cell, and the first row of each; the last one is held back."""
     held: list[pa.RecordBatch] = []
 
-    def key(batch: pa.RecordBatch, row: int) -> list[int]:
-        return [batch.column(c)[row].as_py() for c in CELL_KEYS]
+    def starts(batch: pa.RecordBatch) -> np.ndarray:
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        changed[0] = True
+        for c in CELL_KEYS:
+            changed[1:] |= np.diff(batch.column(c).to_numpy()) != 0
+        return np.flatnonzero(changed)
 
-    def whole() -> pa.RecordBatch:
-        return pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+    def whole() -> tuple[pa.RecordBatch, np.ndarray]:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+        return batch, starts(batch)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        changed = np.zeros(batch.num_rows - 1, dtype=bool)
-        for c in CELL_KEYS:
-            changed |= np.diff(batch.column(c).to_numpy()) != 0
-        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-        if held and key(held[0], 0) != key(batch, 0):
+        last = int(starts(batch)[-1])
+        if held and last == 0 and all(held[0].column(c)[-1] == batch.column(c)[0] for c in CELL_KEYS):
+            held.append(batch)
+            continue
+        if last:
+            held.append(batch.slice(0, last))
+        if held:
             yield whole()
-            held.clear()
-        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
-            held.append(batch.slice(first, last - first))
-            if last < batch.num_rows:
-                yield whole()
-                held.clear()
+        held = [batch.slice(last)]
     if held:
         yield whole()
 
@@ -228,10 +289,24 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rest(contents, min_hits: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for cell in _cells(batches):
-            more_a, more_b = _compare(cell, contents, min_hits, percent)
-            a += more_a
-            b += more_b
+        for batch, starts in _cells(batches):
+            sizes = np.diff(np.r_[starts, batch.num_rows])
+            cell = np.repeat(np.arange(len(sizes)), sizes)
+            found = [
+                _compare(batch.slice(int(starts[k]), int(sizes[k])), contents, min_hits, percent) for k in np.flatnonzero(sizes > FEW).tolist()
+            ]
+            few = np.flatnonzero(sizes[cell] <= FEW)
+            # cut where a cell ends, by the bytes before it
+            bytes_before = np.r_[0, np.cumsum(_sizes(batch.column("content"))[few])]
+            ends = np.flatnonzero(np.r_[cell[few][1:] != cell[few][:-1], True]) + 1 if len(few) else few
+            group = bytes_before[ends] // GROUP_BYTES
+            cuts = [0, *ends[np.flatnonzero(np.diff(group))].tolist(), len(few)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                at = few[low:high]
+                found.append(_compare_few(batch.take(pa.array(at)), cell[at], contents, min_hits, percent))
+            for more_a, more_b in found:
+                a += more_a
+                b += more_b
             if len(a) >= LOCAL_LINKS:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
                 a, b = [], []
@@ -240,6 +315,13 @@ def _rest(contents, min_hits: int, percent: int):
     return run
 
 
+def _sizes(column: pa.Array) -> np.ndarray:
+    """Bytes of each row of texts or lists of longs."""
+    if pa.types.is_list(column.type):
+        return np.diff(column.offsets.to_numpy()).astype(np.int64) * 8
+    return np.diff(words.buffers(column)[1])
+
+
 def linked(
     buckets: DataFrame, nodes: DataFrame, sets: DataFrame, min_hits: int, percent: int,
     fits: Callable[[Column, Column], Column] | None = None, contents: type = ArrayContents,

@@ -159,11 +159,15 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, width: int = 5) -> tuple[np
 
 def distinct(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each row's values sorted and without repeats."""
-    at, kept = segments(counts), []
-    for low, high in zip(at[:-1], at[1:], strict=True):
-        kept.append(np.unique(values[low:high]))
-    flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
-    return flat, np.array([len(x) for x in kept], dtype=np.int64)
+    at, flat = segments(counts), values.copy()
+    for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        flat[low:high].sort()
+    fresh = np.ones(len(flat) + 1, dtype=bool)
+    fresh[1:-1] = flat[1:] != flat[:-1]
+    fresh[at] = True
+    before = np.zeros(len(flat) + 1, dtype=np.int64)
+    np.cumsum(fresh[:-1], out=before[1:])
+    return flat[fresh[:-1]], before[at[1:]] - before[at[:-1]]
 
 
 def set_keys(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -152,3 +152,54 @@ def test_sets_fit_is_exact(spark):
         links.sets_fit(F.array(*map(F.lit, range(16))), F.array(*map(F.lit, range(19))), 85).alias("below"),
     ).first()
     assert (row["at"], row["below"]) == (True, False)
+
+
+def test_small_cells_are_compared_together(monkeypatch):
+    """Cells of a few nodes and of many, whole and in pairs of blocks, in batches cut anywhere."""
+    draw = np.random.Generator(np.random.PCG64(4))
+    number, marks = 900, 3
+    seeds = draw.integers(0, 1 << 62, (60, 40))
+    sets = []
+    for _ in range(number):
+        values = seeds[draw.integers(60)].copy()
+        changed = draw.integers(40, size=draw.integers(8))
+        values[changed] = draw.integers(0, 1 << 62, len(changed))
+        sets.append(np.unique(values))
+    values = draw.integers(0, (40, 90, 250), (number, marks))
+    values[:150, 0] = 1000  # a bucket of many
+
+    def fit(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return both * 100 >= (len(sets[i]) + len(sets[j]) - both) * 80
+
+    buckets = [(m, v, np.flatnonzero(values[:, m] == v)) for m in range(marks) for v in np.unique(values[:, m]).tolist()]
+    buckets = [b for b in buckets if len(b[2]) > 2]
+    every = [(int(i), int(j)) for _, _, n in buckets for k, i in enumerate(n) for j in n[k + 1 :] if fit(i, j)]
+    stars = [(int(n[0]), int(j)) for _, _, n in buckets for j in n[1:] if fit(n[0], j)]
+    want, star = (links.forest(*np.array(x).T) for x in (every, stars))
+    assert want != star
+    rows = []
+    for m, v, nodes in buckets:
+        blocks = 2 if v % 3 == 0 else 1
+        for low, high in [(0, 0), (0, 1), (1, 1)][: 2 * blocks - 1]:
+            inside = [n for n in nodes.tolist() if n % blocks in (low, high)]
+            rows += [(m, v, low, high, int(nodes[0]), n, star.get(n, n), n % blocks, values[n].tolist(), 7, sets[n].tolist()) for n in inside]
+    names = ["mark", "value", "low", "high", "center", "node", "component", "block", "marks", "posted", "content"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)))
+    made = []
+
+    class Counted(links.ArrayContents):
+        def __init__(self, column):
+            made.append(len(column))
+            super().__init__(column)
+
+    for size in (7, 100, len(rows)):
+        made.clear()
+        out = list(links._rest(Counted, 1, 80)(iter(table.combine_chunks().to_batches(size))))
+        a, b = (np.concatenate([x.column(k).to_numpy() for x in out]) for k in (0, 1))
+        assert {n: k for n, k in links.forest(np.r_[a, list(star)], np.r_[b, list(star.values())]).items()} == want
+    assert len(made) <= 5 < len(buckets) // 10, "one for the small cells, and one for each large one"
+    monkeypatch.setattr(links, "GROUP_BYTES", 1)
+    out = list(links._rest(Counted, 1, 80)(iter(table.to_batches())))
+    a, b = (np.concatenate([x.column(k).to_numpy() for x in out]) for k in (0, 1))
+    assert links.forest(np.r_[a, list(star)], np.r_[b, list(star.values())]) == want

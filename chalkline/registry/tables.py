@@ -115,7 +115,8 @@ def xml_items_flattened(m: Model) -> DataFrame:
         items,
     )
     path = scratch_path(m.spark, "items")
-    m.t["lineitem"].select(element.alias("element")).write.text(path)
+    # compressed, as the text is some twenty times the table it is made from
+    m.t["lineitem"].select(element.alias("element")).write.option("compression", "gzip").text(path)
     remove_at_exit(m.spark, path)
     entity = XML_ENTITIES["assessment_results"]
     elements = readers.xml_elements(m.spark, path, entity.row_tag)

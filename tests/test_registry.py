@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from chalkline import registry
+from chalkline.registry import tables
 
 SF = "/root/testdata/sf0.001"
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
@@ -60,3 +61,14 @@ def test_least_and_most_codes_are_those_of_empty_elements(spark, tmp_path):
     got = QUERIES[name](spark, str(tmp_path)).first()
     assert tuple(got) == c.execute(ORACLES[name]).fetchone()
     assert (got.least, got.most) == ("1000", "1999")
+
+
+def test_flattened_items_are_delivered_compressed(spark, tmp_path, monkeypatch):
+    lines = [(1, 7, 1, 3.0, 0.1, "N"), (2, 8, 2, 4.0, 0.0, "R")]
+    names = "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_tax double, l_returnflag string"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(tables, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = QUERIES["xml_items_flattened"](spark, str(tmp_path))
+    assert sorted((r.student_unique_id, r.question_number, r.standard_code) for r in got.collect()) == [("S7", "1", "STD-1"), ("S7", "2", "ITEM-N")]
+    written = list((tmp_path / "items").glob("part-*"))
+    assert written and all(f.name.endswith(".txt.gz") for f in written)

@@ -56,6 +56,31 @@ def test_near_vectors(spark, points, monkeypatch, cell):
     assert sum(map(len, near.values())) > 1000
 
 
+def test_near_vectors_writes_each_vector_once(spark, points, monkeypatch):
+    """However many cells a vector is near to."""
+    monkeypatch.setattr(vectors, "CELL", 8)
+    monkeypatch.setattr(vectors, "BLOCK", 8)
+    written = {}
+    kept = embeddings.materialized
+    monkeypatch.setattr(embeddings, "materialized", lambda df, name: written.setdefault(name, kept(df, name)))
+    embeddings.near_vectors(spark.createDataFrame([(i, v) for i, v in points.items()], "vec_id long, embedding array<double>")).collect()
+    total = written["vector-nodes"].count()
+    held = [r.nodes for r in written["vector-blocks"].select("nodes").collect()]
+    assert sum(len(nodes) // 8 for nodes in held) == total and len(held) > total / 20
+    assert all(df.count() <= total for name, df in written.items() if name != "vector-links")
+
+
+def test_links_of_few_and_of_many():
+    draw = np.random.default_rng(3)
+    few = embeddings._units(draw.normal(size=(700, 16)))
+    few[600:] = embeddings._units(few[:100] + 0.05 * draw.normal(size=(100, 16)))
+    many = embeddings._units(1 + 0.3 * draw.normal(size=(700, 16)))
+    for points, least in ((few, 0.95), (many, 0.9), (many, -1.0)):
+        got = [np.concatenate(x) for x in zip(*embeddings._links(points, points, least), strict=True)]
+        want = np.nonzero(points @ points.T >= least)
+        assert [x.tolist() for x in got] == [x.tolist() for x in want]
+
+
 def test_near_vectors_without_rows(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embeddings.near_vectors(empty).count() == 0

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import k12_files
+from chalkline import session
 from chalkline.operators import analytics, quality
 from chalkline.operators.analytics import row_counts
 from chalkline.plans import checks, k12, pipeline
@@ -271,6 +272,19 @@ def test_published_tables_in_a_database(spark, tmp_path):
     spark.sql("DROP DATABASE gold_test CASCADE")
 
 
+def test_input_may_go_when_silver_is_written(spark, tmp_path):
+    xml, csv, seeds = k12_files.write(tmp_path)
+
+    def gone():
+        assert (tmp_path / "out" / "malformed").exists() and not (tmp_path / "out" / "gold").exists()
+        for source in (xml, csv):
+            session.remove(spark, source)
+
+    day, now = F.lit("2026-06-30").cast("date"), F.lit("2026-01-05 06:30:00").cast("timestamp")
+    tables = pipeline.run(spark, xml, csv, seeds, str(tmp_path / "out"), day, now, LOADED, silver_written=gone)
+    assert all(tables[name].count() for name in pipeline.GOLD)
+
+
 def test_staging_renames(spark, tmp_path):
     xml, csv, _ = k12_files.write(tmp_path)
     staged = stage("edfi", readers.read_all_xml(spark, xml) | {"students": pipeline.xml_silver(spark, xml)["students"]})

@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 
 import k12_files
+from chalkline import session
 from chalkline.sources import readers, sinks
 from chalkline.sources.specs import CSV_ENTITIES, XML_ENTITIES
 
@@ -300,3 +303,18 @@ def test_buckets_only_where_no_value_is_hot(spark, monkeypatch):
     assert sinks.publish(rows.limit(0), "none", "bucket_test", by="k").count() == 0
     assert {r.tableName for r in spark.sql("SHOW TABLES IN bucket_test").collect()} == {"spread", "none"}
     spark.sql("DROP DATABASE bucket_test CASCADE")
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    setting = spark.conf.get(session._DROP, None)
+    counted = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    for write in (lambda: sinks.write_parquet(counted, str(tmp_path / "counted")), lambda: sinks.publish(counted, "counted", "shuffle_test")):
+        before = shuffle_files(spark)
+        write()
+        assert not shuffle_files(spark) - before
+    assert spark.conf.get(session._DROP, None) == setting

@@ -1,5 +1,7 @@
 """Joins, personal data, unions, rules, checks and reports on small literal tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,3 +293,22 @@ def test_drilldown_levels_count_entities_once(spark):
     assert got["section", None, "B", 2, None, None] == (1, 50.0)
     assert got["student", None, None, None, None, "s1"] == (1, 15.0)
     assert len(got) == 2 + 3 + 3 + 4 + 3
+
+
+def test_drilldown_levels_of_pairs(spark):
+    """Places and sections of a student given apart make the same levels as their pairs, which are never joined."""
+    draw = random.Random(5)
+    facts = [(f"s{k}", v) for k in range(12) for v in draw.sample([None, 10.0, 20.0, 35.0, 50.0], 3)]
+    places = [(draw.choice([None, *(f"s{k}" for k in range(14))]), draw.choice([None, "D", "E"]), draw.choice([None, "A", "B"]), draw.choice([None, 1, 2])) for _ in range(90)]
+    sections = [(draw.choice([None, *(f"s{k}" for k in range(1, 15))]), draw.choice([None, "x", "y", "z"])) for _ in range(60)]
+    members = [(s, d, a, g, x) for s, d, a, g in places for t, x in sections if s == t]
+    outer, kind = "student_id string, district_name string, school_id string, grade_level int", "student_id string, max_score_to_date double"
+    values = spark.createDataFrame(facts, kind)
+    inner = spark.createDataFrame(sections, "student_id string, section_id string")
+    want = analytics.drilldown_levels(values, spark.createDataFrame(members, f"{outer}, section_id string"))
+    got = analytics.drilldown_levels(values, spark.createDataFrame(places, outer), inner=inner)
+    assert got.columns == want.columns
+    flat = lambda df: sorted(([*map(str, r[:7]), r[7] and round(r[7], 9)] for r in df.collect()), key=str)
+    assert flat(got) == flat(want) and len(flat(got)) > 100
+    plan = got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "__place" in plan and plan.count("hashpartitioning(__slice") <= 1  # the pairs are counted where they are made

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from chalkline.functions import exprs as x
 from chalkline.operators.joins import orphan_count
+from chalkline.session import materialized
 from chalkline.sources.sinks import write_parquet
 
 LOG_COLUMNS = (
@@ -241,6 +242,11 @@ def counted(violating: DataFrame, check: str, table: str, column: str = "", seve
     return total.select(F.inline(F.array(_report_row(check, table, column, severity, F.col("violations")))))
 
 
+def settled(checks: Sequence[DataFrame], at_once: int = 6) -> list[DataFrame]:
+    """Report rows as written tables, some checks at a time: the disk holds the shuffles of these, not of all checks."""
+    return [materialized(reduce(DataFrame.unionByName, checks[k : k + at_once]), "checks") for k in range(0, len(checks), at_once)]
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     """One row per check with its outcome: pass, warn or fail."""
     rows = reduce(DataFrame.unionByName, checks)

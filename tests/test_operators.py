@@ -1,6 +1,7 @@
 """Joins, personal data, unions, rules, checks and reports on small literal tables."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from chalkline.operators import analytics, joins, mastery, pii, quality, responses
 from chalkline.operators.unify import Source, one_per_value, shared_values, unify
 from chalkline.plans.queries import query
+from chalkline.registry import reports
+from chalkline.registry.model import Model
 
 
 @pytest.fixture
@@ -312,3 +315,21 @@ def test_drilldown_levels_of_pairs(spark):
     assert flat(got) == flat(want) and len(flat(got)) > 100
     plan = got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
     assert "__place" in plan and plan.count("hashpartitioning(__slice") <= 1  # the pairs are counted where they are made
+
+
+def test_checks_are_settled_some_at_a_time(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffles = lambda: {f.name for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+    df = spark.range(1000).selectExpr("id % 400 AS a", "if(id % 3 = 0, NULL, id) AS b")
+    checks = [quality.not_null(df, "t", ["a", "b"]), *(quality.unique(df, "t", c) for c in "abab"), quality.accepted_values(df, "t", "a", [1, 2])]
+    before = shuffles()
+    parts = quality.settled(checks, at_once=4)
+    assert not shuffles() - before and len(parts) == 2
+    assert sorted(quality.report(parts).collect()) == sorted(quality.report(checks).collect())
+
+
+def test_checked_projections_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(reports, "materialized", lambda df, name: written.append(df) or df)
+    found = reports._checked_tables(Model(spark, "/root/testdata/sf0.001"))
+    assert set(found) == set(reports._CHECKED) and len(written) == len(reports._WRITTEN)
